@@ -9,7 +9,7 @@ partition's offset.  Only one count per partition reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.session import ensure_checkpoint_dir
@@ -92,3 +92,67 @@ def split_random(df: DataFrame, key: list[str], valid_size: float = 0.1, test_si
 def shuffle_rows(df: DataFrame, key: list[str], seed: int = 2023) -> DataFrame:
     """Reproducible random row order (O9): sort by a seeded hash of the key."""
     return df.orderBy(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), *key)
+
+
+def segmented_prefix_sum(df: DataFrame, keys: list[str], order: list[str | Column],
+                         values: list[str], suffix: str = "_cum",
+                         num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``values`` inside each key, in ``order``.
+
+    Skew-safe: rows are range-partitioned on ``(keys, order)`` so one key may
+    span many partitions; sums run per (partition, key) and each partition's
+    first key receives the total of its earlier segments.  The boundary table
+    holds one row per partition — the only data that reaches the driver.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = _num_partitions(df, num_partitions)
+    ranged = (df.repartitionByRange(n, *keys, *order)
+              .withColumn("_pid", F.spark_partition_id().cast("long")))
+    ranged = ranged.checkpoint(eager=True)
+    w = (Window.partitionBy("_pid", *keys).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumns({v + suffix: F.sum(v).over(w) for v in values})
+    seg = ranged.groupBy("_pid", *keys).agg(*[F.sum(v).alias(v) for v in values])
+    if keys:
+        kstruct = F.struct(*[F.col(k) for k in keys])
+        bounds = seg.groupBy("_pid").agg(F.min(kstruct).alias("first"), F.max(kstruct).alias("last"),
+                                         F.count(F.lit(1)).alias("nseg"))
+        # totals of each partition's last key: one row per partition
+        last_tot = (seg.join(F.broadcast(bounds.select("_pid", "last")), "_pid")
+                    .where(F.struct(*[F.col(k) for k in keys]).eqNullSafe(F.col("last")))
+                    .select("_pid", *values))
+        b = {r["_pid"]: r for r in bounds.collect()}
+        lt = {r["_pid"]: r for r in last_tot.collect()}
+        rows, carry_key, carry = [], None, None
+        for pid in sorted(b):
+            first, last = tuple(b[pid]["first"]), tuple(b[pid]["last"])
+            off = carry if (carry is not None and carry_key == first) else None
+            if off is not None:
+                rows.append((pid, *first, *[float(x) for x in off]))
+            tot = [lt[pid][v] or 0 for v in values] if pid in lt else [0] * len(values)
+            if first == last and off is not None:
+                carry = [a + t for a, t in zip(off, tot)]
+            else:
+                carry = tot
+            carry_key = last
+        schema = ", ".join(["_pid long"] + [f"{k} {dict(df.dtypes)[k]}" for k in keys]
+                           + [f"_off_{v} double" for v in values])
+        offs = spark.createDataFrame(rows, schema) if rows else None
+        if offs is None:
+            return local.drop("_pid")
+        cond = [local["_pid"] == offs["_pid"]] + [local[k].eqNullSafe(offs[k]) for k in keys]
+        j = local.join(F.broadcast(offs), cond, "left").select(
+            local["*"], *[offs[f"_off_{v}"] for v in values])
+    else:
+        tot = {r["_pid"]: r for r in seg.collect()}
+        rows, acc = [], [0.0] * len(values)
+        for pid in sorted(tot):
+            rows.append((pid, *[float(x) for x in acc]))
+            acc = [a + (tot[pid][v] or 0) for a, v in zip(acc, values)]
+        offs = spark.createDataFrame(rows or [(0, *([0.0] * len(values)))],
+                                     ", ".join(["_pid long"] + [f"_off_{v} double" for v in values]))
+        j = local.join(F.broadcast(offs), "_pid", "left")
+    out = j.withColumns({v + suffix: F.col(v + suffix) + F.coalesce(F.col(f"_off_{v}"), F.lit(0.0))
+                         for v in values})
+    return out.drop("_pid", *[f"_off_{v}" for v in values])
