@@ -1 +1,101 @@
-"""placeholder"""
+"""Model training / scoring queries (phase 8).  Rows-only checks: a trained
+model has no SQL twin; tests assert sanity on planted signal."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from rankfold.functions.scalar import duration_days
+from rankfold.operators import learn as LN
+from rankfold.plans.registry import query
+from rankfold.sources import staging as st
+
+KEY = ["impression_id", "pos"]
+FEATURES = ["score_a", "score_c", "quantity", "total_inviews", "total_read_time", "view_days", "pos",
+            "session_len"]
+CUT_VALID = datetime(1996, 1, 1)
+CUT_TEST = datetime(1997, 6, 1)
+
+
+def feature_table(spark, sf):
+    """Candidates with numeric features, the click label and a time split."""
+    c = st.candidate_lines(spark, sf)
+    art = st.articles(spark, sf).select("article_id", "total_inviews", "total_read_time", "published_time",
+                                        "article_type")
+    n = c.groupBy("impression_id").agg(F.count(F.lit(1)).alias("session_len"))
+    j = c.join(art, "article_id", "left").join(n, "impression_id")
+    j = j.withColumns({"view_days": duration_days("impression_time", "published_time").cast("double"),
+                       "label": F.col("line_label").cast("double"),
+                       "split": F.when(F.col("impression_time") < F.lit(CUT_VALID), "train")
+                       .when(F.col("impression_time") < F.lit(CUT_TEST), "valid").otherwise("test")})
+    return LN.prepare(j, FEATURES)
+
+
+def _splits(spark, sf):
+    f = feature_table(spark, sf)
+    return (f.where(F.col("split") == "train"), f.where(F.col("split") == "valid"),
+            f.where(F.col("split") == "test"))
+
+
+def _round(df):
+    return df.select(*KEY, F.round("score", 6).alias("score"))
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf):
+    train, _, test = _splits(spark, sf)
+    m = LN.gbt(FEATURES, max_depth=4, max_iter=10).fit(train)
+    return _round(LN.score(m, test, KEY))
+
+
+@query("importances")
+def q_importances(spark, sf):
+    train, _, _ = _splits(spark, sf)
+    m = LN.gbt(FEATURES, max_depth=4, max_iter=10).fit(train)
+    return LN.importances(m, FEATURES)
+
+
+@query("pairwise_rank_scores")
+def q_pairwise(spark, sf):
+    train, _, test = _splits(spark, sf)
+    m = LN.fit_pairwise(train, ["impression_id"], FEATURES)
+    return _round(LN.pairwise_scores(m, test, KEY, FEATURES))
+
+
+@query("stacked_scores")
+def q_stacked(spark, sf):
+    train, valid, test = _splits(spark, sf)
+    make = lambda feats, label: LN.gbt(feats, label, max_depth=3, max_iter=5)
+    return _round(LN.stack_two_stage(train, valid, test, FEATURES, KEY, make=make))
+
+
+@query("lr_scores")
+def q_lr(spark, sf):
+    train, _, test = _splits(spark, sf)
+    m = LN.logistic(FEATURES, one_hot=["article_type"]).fit(train)
+    return _round(LN.score(m, test, KEY))
+
+
+@query("fm_scores")
+def q_fm(spark, sf):
+    train, _, test = _splits(spark, sf)
+    m = LN.factorization_machine(FEATURES).fit(train)
+    return _round(LN.score(m, test, KEY))
+
+
+@query("mlp_scores")
+def q_mlp(spark, sf):
+    train, _, test = _splits(spark, sf)
+    m = LN.mlp(FEATURES).fit(train)
+    return _round(LN.score(m, test, KEY))
+
+
+@query("model_select")
+def q_model_select(spark, sf):
+    train, _, _ = _splits(spark, sf)
+    tvs = LN.select_model(train, FEATURES, depths=(2, 3), iters=(3, 5))
+    rows = [(str({p.name: v for p, v in pm.items()}), float(m))
+            for pm, m in zip(tvs.getEstimatorParamMaps(), tvs.validationMetrics)]
+    return spark.createDataFrame(rows, "params string, auc double")
