@@ -30,33 +30,36 @@ KINDS = ("nunique", "min", "max", "mean", "median", "std", "skew", "first", "las
          "maxmin", "count")
 
 
-def _agg_expr(kind: str, col: str | None, order: Column | None, windowed: bool) -> Column:
+def _agg_expr(kind: str, col: str | None, order: Column | None, window=None) -> Column:
+    """One statistic; with ``window`` every aggregate inside it is windowed."""
     c = F.col(col) if col else None
+    ov = (lambda e: e.over(window)) if window is not None else (lambda e: e)
     if kind == "count":
-        return F.count(F.lit(1))
+        return ov(F.count(F.lit(1))).cast("long")
     if kind == "nunique":
-        # a NULL counts as one more distinct value
-        null_flag = F.max(c.isNull().cast("int"))
-        distinct = F.size(F.collect_set(c)) if windowed else F.count_distinct(c)
-        return distinct + null_flag
+        # a NULL counts as one more distinct value; count(distinct) is not a
+        # window function, the window form counts the set instead
+        null_flag = ov(F.max(c.isNull().cast("int")))
+        distinct = F.size(ov(F.collect_set(c))) if window is not None else F.count_distinct(c)
+        return (distinct + null_flag).cast("long")
     if kind == "min":
-        return F.min(c)
+        return ov(F.min(c))
     if kind == "max":
-        return F.max(c)
+        return ov(F.max(c))
     if kind == "mean":
-        return F.avg(c)
+        return ov(F.avg(c))
     if kind == "median":
-        return F.median(c)
+        return ov(F.median(c))
     if kind == "std":
-        return F.stddev_samp(c)
+        return ov(F.stddev_samp(c))
     if kind == "skew":
-        return F.skewness(c)   # population form; zero variance -> NULL
+        return ov(F.skewness(c))   # population form; zero variance -> NULL
     if kind == "maxmin":
-        return F.max(c) - F.min(c)
+        return ov(F.max(c)) - ov(F.min(c))
     if kind in ("first", "last"):
         if order is None:
             raise ValueError("first/last need an order")
-        return F.min_by(c, order) if kind == "first" else F.max_by(c, order)
+        return ov(F.min_by(c, order)) if kind == "first" else ov(F.max_by(c, order))
     raise ValueError(f"unknown statistic {kind}")
 
 
@@ -64,7 +67,7 @@ def group_stats(df: DataFrame, keys: list[str], spec: list[tuple[str, str | None
                 order: list[str] | None = None) -> DataFrame:
     """One row per key with every requested statistic (aggregate form)."""
     o = F.struct(*[F.col(c) for c in order]) if order else None
-    exprs = [_agg_expr(kind, col, o, False).alias(name) for kind, col, name in spec]
+    exprs = [_agg_expr(kind, col, o).alias(name) for kind, col, name in spec]
     return df.groupBy(*keys).agg(*exprs)
 
 
@@ -93,7 +96,7 @@ def attach_stats(df: DataFrame, key_sets: list[tuple[list[str], list[tuple[str,
         for keys, spec in fused.items():
             w = Window.partitionBy(*keys)
             for kind, col, name in spec:
-                cols[name] = _agg_expr(kind, col, o, True).over(w)
+                cols[name] = _agg_expr(kind, col, o, w)
         return df.withColumns(cols)
     out = df
     for keys, spec in fused.items():

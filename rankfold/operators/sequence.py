@@ -28,9 +28,10 @@ def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "seq_
         n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         return df.withColumns({out: (F.row_number().over(w) - 1).cast("long"), "seq_n": n})
     idx = global_index(df, [*keys, *order], "_gi", 0)
-    starts = idx.groupBy(*keys).agg(F.min("_gi").alias("_g0"), F.count(F.lit(1)).alias("seq_n"))
-    j = idx.join(starts, [idx[k].eqNullSafe(starts[k]) for k in keys], "left")
-    j = j.select(*[idx[c] for c in idx.columns], "_g0", "seq_n")
+    starts = (idx.groupBy(*keys).agg(F.min("_gi").alias("_g0"), F.count(F.lit(1)).alias("seq_n"))
+              .select(*[F.col(k).alias(f"_sk_{k}") for k in keys], "_g0", "seq_n"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_sk_{k}")) for k in keys]
+    j = idx.join(starts, cond, "left").drop(*[f"_sk_{k}" for k in keys])
     return j.withColumn(out, F.col("_gi") - F.col("_g0")).drop("_gi", "_g0")
 
 
@@ -86,7 +87,12 @@ def lookup_items(df: DataFrame, row_key: list[str], seq_col: str, items: DataFra
     ex = df.select(*row_key, F.posexplode(seq_col).alias("_p", item_key))
     j = ex.join(items.select(item_key, *attrs), item_key, "left")
     g = j.groupBy(*row_key).agg(F.array_sort(F.collect_list(F.struct("_p", *attrs))).alias("_l"))
-    return g.select(*row_key, *[F.transform("_l", lambda x, a=a: x[a]).alias(f"{seq_col}_{a}") for a in attrs])
+    return g.select(*row_key, *[F.transform("_l", _field(a)).alias(f"{seq_col}_{a}") for a in attrs])
+
+
+def _field(name: str):
+    # one-argument lambda: transform() passes the index to two-argument ones
+    return lambda x: x[name]
 
 
 def sample_clock_features(df: DataFrame, ts: str, published: str) -> DataFrame:
