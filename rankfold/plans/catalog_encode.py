@@ -388,3 +388,133 @@ def q_pub_age_clip(spark, sf):
     art = st.articles(spark, sf).select("article_id", "published_time")
     j = Q.sample_clock_features(c.join(art, "article_id", "left"), "impression_time", "published_time")
     return j.select("impression_id", "pos", "pulish_3day", "pulish_7day", "publish_days", "publish_hours")
+
+
+# ------------------------------------------------ feature specs & layout --
+
+@query("narrow_types", """
+WITH s AS (SELECT min(l_orderkey) a1, max(l_orderkey) b1, min(l_linenumber) a2, max(l_linenumber) b2,
+                  min(l_partkey) a3, max(l_partkey) b3, min(l_quantity) a4, max(l_quantity) b4 FROM lineitem),
+t AS (SELECT 'l_orderkey' AS "column", a1 AS lo, b1 AS hi, 'i' AS k FROM s
+      UNION ALL SELECT 'l_linenumber', a2, b2, 'i' FROM s UNION ALL SELECT 'l_partkey', a3, b3, 'i' FROM s
+      UNION ALL SELECT 'l_quantity', a4, b4, 'f' FROM s)
+SELECT "column", CASE WHEN k = 'f' THEN (CASE WHEN lo > -3.4028234663852886e38 AND hi < 3.4028234663852886e38
+                                          THEN 'float' ELSE 'double' END)
+                      WHEN lo > -128 AND hi < 127 THEN 'tinyint' WHEN lo > -32768 AND hi < 32767 THEN 'smallint'
+                      WHEN lo > -2147483648 AND hi < 2147483647 THEN 'int' ELSE 'bigint' END AS type FROM t""")
+def q_narrow_types(spark, sf):
+    from rankfold.operators.featuremap import narrowed_types
+    li = st.table(spark, sf, "lineitem")
+    return narrowed_types(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
+
+
+@query("topk_features", """
+WITH imp AS (SELECT 'l_quantity' AS feature, count(DISTINCT l_quantity) AS importance FROM lineitem
+  UNION ALL SELECT 'l_extendedprice', count(DISTINCT l_extendedprice) FROM lineitem
+  UNION ALL SELECT 'l_discount', count(DISTINCT l_discount) FROM lineitem
+  UNION ALL SELECT 'l_tax', count(DISTINCT l_tax) FROM lineitem
+  UNION ALL SELECT 'l_suppkey', count(DISTINCT l_suppkey) FROM lineitem
+  UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey) FROM lineitem
+  UNION ALL SELECT 'dnn_score', count(DISTINCT l_orderkey) FROM lineitem)
+SELECT feature, importance FROM imp WHERE feature NOT IN ('l_partkey') AND NOT suffix(feature, '_score')
+ORDER BY importance DESC, feature LIMIT 3""")
+def q_topk_features(spark, sf):
+    """Importance = distinct values per column (a data-driven stand-in for the
+    importance file); pick the top 3 not already used and not a score."""
+    from rankfold.operators.featuremap import top_features, unpivot
+    li = st.table(spark, sf, "lineitem").withColumn("dnn_score", F.col("l_orderkey"))
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey", "l_partkey", "dnn_score"]
+    imp = unpivot(li, cols).groupBy("feature").agg(F.count_distinct("value").alias("importance"))
+    return top_features(imp, 3, existing=["l_partkey"])
+
+
+@query("feature_map", with_(CAND, EV) + """
+, a AS (SELECT count(*) AS n FROM (SELECT article_id FROM cand GROUP BY 1 HAVING count(*) >= 40)),
+u AS (SELECT count(DISTINCT user_id) AS n FROM ev)
+SELECT 'article_id' AS feature, 'categorical' AS type, 'item' AS source, a.n + 2 AS vocab_size,
+       CAST(NULL AS BIGINT) AS max_len, 0 AS padding_idx, a.n + 1 AS oov_idx FROM a
+UNION ALL SELECT 'user_id', 'categorical', 'user', u.n + 2, NULL, 0, u.n + 1 FROM u
+UNION ALL SELECT 'read_time', 'numeric', 'context', NULL, NULL, NULL, NULL""")
+def q_feature_map(spark, sf):
+    from rankfold.operators.featuremap import feature_map
+    c = st.candidate_lines(spark, sf)
+    ev = st.events_view(spark, sf)
+    return feature_map(spark, [
+        {"name": "article_id", "type": "categorical", "source": "item",
+         "vocab": E.frequency_vocab(E.token_counts(c, "article_id"), min_count=40)},
+        {"name": "user_id", "type": "categorical", "source": "user",
+         "vocab": E.frequency_vocab(E.token_counts(ev, "user_id"))},
+        {"name": "read_time", "type": "numeric", "source": "context"}])
+
+
+@query("user_history_join", with_(CAND, EV) + """
+, h AS (SELECT user_id, avg(read_time) AS m1, avg(scroll_percentage) AS m2 FROM ev GROUP BY user_id)
+SELECT c.impression_id, c.pos, ROUND(h.m1, 6) AS user_read_time_mean, ROUND(h.m2, 6) AS user_scroll_percentage_mean
+FROM cand c LEFT JOIN h ON c.user_id = h.user_id""")
+def q_user_history_join(spark, sf):
+    """Candidates with the per-user history summary (J2): list means of the
+    history arrays, joined on user_id."""
+    h = st.history(spark, sf).select("user_id", L.list_mean("read_time_fixed").alias("m1"),
+                                     L.list_mean("scroll_percentage_fixed").alias("m2"))
+    c = st.candidate_lines(spark, sf).select("impression_id", "pos", "user_id")
+    j = c.join(h, "user_id", "left")
+    return j.select("impression_id", "pos", r6("m1").alias("user_read_time_mean"),
+                    r6("m2").alias("user_scroll_percentage_mean"))
+
+
+@query("seq_item_lookup", _SEQ_SQL + """
+, p AS (SELECT user_id, list(article_id ORDER BY seq_pos) AS l FROM s WHERE t < TIMESTAMP '2024-01-20' GROUP BY user_id),
+c AS (SELECT user_id, CASE WHEN len(l) > 5 THEN l[len(l) - 4:] ELSE l END AS l FROM p),
+pad AS (SELECT user_id, list_concat(list_resize([]::BIGINT[], 5 - len(l), -1), l) AS l FROM c),
+ex AS (SELECT user_id, unnest(l) AS id, generate_subscripts(l, 1) AS k FROM pad)
+SELECT ex.user_id, list(part.p_type ORDER BY ex.k) AS last5_category
+FROM ex LEFT JOIN part ON ex.id = part.p_partkey GROUP BY ex.user_id""")
+def q_seq_item_lookup(spark, sf):
+    """Item attributes for every slot of the padded last-5 sequence (J7);
+    padding uses id -1 so it never matches an item."""
+    from rankfold.operators.sequence import lookup_items
+    s = _seq_long(spark, sf).where(F.col("impression_time") < F.lit(CUT_VALID))
+    n_cut = s.groupBy("user_id").agg(F.count(F.lit(1)).alias("seq_n"))
+    tail = s.drop("seq_n").join(n_cut, "user_id")
+    arr = Q.assemble(tail, ["user_id"], "article_id", max_len=5, out="_last")
+    seqs = arr.select("user_id", L.pad_sequence("_last", 5, -1, "pre", "pre").alias("last5"))
+    items = st.articles(spark, sf).select("article_id", "category")
+    out = lookup_items(seqs, ["user_id"], "last5", items, "article_id", ["category"])
+    return out.select("user_id", "last5_category")
+
+
+@query("seq_len_join", _SEQ_SQL + """
+, sl AS (SELECT user_id, count(*) FILTER (WHERE t < TIMESTAMP '2024-01-10') AS seq_len FROM s GROUP BY user_id)
+SELECT c.impression_id, c.pos, CAST(sl.seq_len AS BIGINT) AS seq_len
+FROM (SELECT l_orderkey AS impression_id, o_custkey AS user_id,
+             row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+                                l_shipdate, l_returnflag, l_discount, l_tax, l_quantity) - 1 AS pos
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey) c LEFT JOIN sl ON c.user_id = sl.user_id""")
+def q_seq_len_join(spark, sf):
+    """Samples joined with the user's point-in-time sequence length."""
+    lens = Q.cutoff_lengths(_seq_long(spark, sf), "user_id", "impression_time", {"seq_len": CUT_TRAIN})
+    c = st.candidate_lines(spark, sf).select("impression_id", "pos", "user_id")
+    return c.join(lens.select("user_id", "seq_len"), "user_id", "left").select(
+        "impression_id", "pos", F.col("seq_len").cast("long").alias("seq_len"))
+
+
+@query("encoder_fit_transform", with_(CAND, ART) + """
+, c AS (SELECT cand.*, art.category FROM cand LEFT JOIN art ON cand.article_id = art.article_id),
+tr AS (SELECT * FROM c WHERE impression_time < TIMESTAMP '1996-01-01'),
+v AS (SELECT category AS token, row_number() OVER (ORDER BY count(*) DESC, category) AS id
+      FROM tr WHERE category IS NOT NULL GROUP BY category),
+o AS (SELECT count(*) + 1 AS oov FROM v),
+s AS (SELECT min(quantity) a, max(quantity) b FROM tr)
+SELECT c.impression_id, c.pos, CAST(coalesce(v.id, o.oov) AS BIGINT) AS category,
+       ROUND((c.quantity - s.a) / CASE WHEN s.b = s.a THEN 1 ELSE s.b - s.a END, 6) AS quantity
+FROM c CROSS JOIN o CROSS JOIN s LEFT JOIN v ON c.category = v.token
+WHERE c.impression_time >= TIMESTAMP '1996-01-01'""")
+def q_encoder_fit_transform(spark, sf):
+    """Fit on the train split, transform a later split."""
+    from rankfold.operators.featuremap import fit_encoder
+    c = st.candidate_lines(spark, sf).select("impression_id", "pos", "article_id", "impression_time", "quantity")
+    c = c.join(st.articles(spark, sf).select("article_id", "category"), "article_id", "left")
+    cut = F.col("impression_time") < F.lit(datetime(1996, 1, 1))
+    model = fit_encoder(c.where(cut), categorical=["category"], numeric=["quantity"])
+    out = model.transform(c.where(~cut), ["impression_id", "pos"])
+    return out.select("impression_id", "pos", "category", r6("quantity").alias("quantity"))
