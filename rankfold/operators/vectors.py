@@ -44,32 +44,40 @@ def vec_scale(v: ColumnOrName, s: Column) -> Column:
 
 # ------------------------------------------------ pooling over groups ---
 
+def _vec_sum_agg(c: Column) -> Column:
+    """Per-group element-wise sum of a double array column: Spark ML's vector
+    summarizer, a JVM aggregate with partial (map-side) aggregation."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    return vector_to_array(Summarizer.sum(array_to_vector(c)))
+
+
 def pool_vectors(df: DataFrame, group: list[str], vec: str, mode: str = "mean",
                  out: str = "pooled") -> DataFrame:
     """Masked sum / average pooling of the vectors of each group (V2/V3).
 
     Average = sum / (number of non-zero vectors + 1e-12): zero vectors are
-    padding, as in the reference's mask-by-zeros rule.
+    padding, as in the reference's mask-by-zeros rule.  Sums are a partial
+    aggregate, so a group holding a third of the rows is combined map-side.
     """
-    ex = df.select(*group, F.posexplode(vec).alias("_d", "_v"),
-                   (F.aggregate(F.col(vec), F.lit(0.0), lambda a, x: a + x) != 0).cast("double").alias("_nz"))
-    by_dim = ex.groupBy(*group, "_d").agg(F.sum("_v").alias("_s"), F.sum("_nz").alias("_n"))
+    v = F.col(vec).cast("array<double>")
+    nz = (F.aggregate(v, F.lit(0.0), lambda a, x: a + x) != 0).cast("double")
+    g = df.groupBy(*group).agg(_vec_sum_agg(v).alias("_s"), F.sum(nz).alias("_n"))
     if mode == "mean":
-        by_dim = by_dim.withColumn("_s", F.col("_s") / (F.col("_n") + F.lit(1e-12)))
-    g = by_dim.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_d", "_s"))).alias("_l"))
-    return g.select(*group, F.transform("_l", lambda x: x["_s"]).alias(out))
+        return g.select(*group, F.transform("_s", lambda x: x / (F.col("_n") + F.lit(1e-12))).alias(out))
+    return g.select(*group, F.col("_s").alias(out))
 
 
 def fm_group_interaction(df: DataFrame, group: list[str], vec: str) -> DataFrame:
     """FM second-order term over all field vectors of a group:
     ``0.5 * ((Σv)² − Σv²)`` per dimension (``bi_interaction``) and its sum
-    (``product_sum``) (V4), from algebraic per-dimension sums."""
-    ex = df.select(*group, F.posexplode(vec).alias("_d", "_v"))
-    by_dim = ex.groupBy(*group, "_d").agg(F.sum("_v").alias("_s"), F.sum(F.col("_v") * F.col("_v")).alias("_q"))
-    by_dim = by_dim.withColumn("_bi", F.lit(0.5) * (F.col("_s") * F.col("_s") - F.col("_q")))
-    g = by_dim.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_d", "_bi"))).alias("_l"),
-                                   F.sum("_bi").alias("product_sum"))
-    return g.select(*group, F.transform("_l", lambda x: x["_bi"]).alias("bi_interaction"), "product_sum")
+    (``product_sum``) (V4), from two partial vector sums."""
+    v = F.col(vec).cast("array<double>")
+    g = df.groupBy(*group).agg(_vec_sum_agg(v).alias("_s"),
+                               _vec_sum_agg(F.transform(v, lambda x: x * x)).alias("_q"))
+    bi = F.zip_with("_s", "_q", lambda a, b: F.lit(0.5) * (a * a - b))
+    g = g.select(*group, bi.alias("bi_interaction"))
+    return g.withColumn("product_sum", F.aggregate("bi_interaction", F.lit(0.0), lambda acc, x: acc + x))
 
 
 # --------------------------------------------------- per-row field ops ---
