@@ -214,3 +214,12 @@ def test_positions_chunked_equals_window(spark):
     a = positions(df, ["u"], ["t"], strategy="chunked")
     b = positions(df, ["u"], ["t"], strategy="window")
     assert a.select("u", "t", "seq_pos", "seq_n").exceptAll(b.select("u", "t", "seq_pos", "seq_n")).count() == 0
+
+
+def test_distributed_median_equals_aggregate(spark):
+    rows = [(0 if i < 300 else i % 4 + 1, float((i * 31) % 17) if i % 9 else None) for i in range(420)]
+    df = spark.createDataFrame(rows, "k long, x double")
+    spec = [("median", "x", "med"), ("mean", "x", "m")]
+    a = FT.group_stats(df, ["k"], spec, median_strategy="chunked")
+    b = FT.group_stats(df, ["k"], spec, median_strategy="window")
+    assert sorted(a.collect()) == sorted(b.collect())
