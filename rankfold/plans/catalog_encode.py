@@ -452,10 +452,12 @@ def q_feature_map(spark, sf):
 SELECT c.impression_id, c.pos, ROUND(h.m1, 6) AS user_read_time_mean, ROUND(h.m2, 6) AS user_scroll_percentage_mean
 FROM cand c LEFT JOIN h ON c.user_id = h.user_id""")
 def q_user_history_join(spark, sf):
-    """Candidates with the per-user history summary (J2): list means of the
-    history arrays, joined on user_id."""
-    h = st.history(spark, sf).select("user_id", L.list_mean("read_time_fixed").alias("m1"),
-                                     L.list_mean("scroll_percentage_fixed").alias("m2"))
+    """Candidates with the per-user history summary (J2): the means of the
+    user's history lists, computed as partial aggregates over the history
+    rows (equal to the per-row list means, without building the lists)."""
+    from rankfold.operators.features import group_stats
+    h = group_stats(st.events_view(spark, sf), ["user_id"],
+                    [("mean", "read_time", "m1"), ("mean", "scroll_percentage", "m2")])
     c = st.candidate_lines(spark, sf).select("impression_id", "pos", "user_id")
     j = c.join(h, "user_id", "left")
     return j.select("impression_id", "pos", r6("m1").alias("user_read_time_mean"),

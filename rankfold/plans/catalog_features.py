@@ -175,15 +175,15 @@ _register_stats("hist_pair_counts", PAIR_SETS)
 
 
 def hist_long(spark, sf):
-    """History in long form: the reference's history arrays exploded, with
-    article attributes (category = the article's category)."""
-    from rankfold.operators.explode import explode_parallel, strip_suffix
-    h = st.history(spark, sf)
-    cols = ["article_id_fixed", "impression_time_fixed", "read_time_fixed", "scroll_percentage_fixed"]
-    long = strip_suffix(explode_parallel(h, cols))
+    """History in long form — one row per click, as the reference's history
+    arrays are after their explode — with article attributes (category = the
+    article's category).  Built from the event rows directly, so no user's
+    history is ever held in one array."""
+    from rankfold.functions.scalar import sentiment_to_int
+    long = st.events_view(spark, sf).select("user_id", "article_id", "impression_time", "read_time",
+                                            "scroll_percentage")
     art = st.articles(spark, sf).select("article_id", "article_type", "category", "sentiment_score",
                                         "sentiment_label", "published_time")
-    from rankfold.functions.scalar import sentiment_to_int
     j = long.join(art, "article_id", "left")
     return j.withColumns({"click_gap": duration_hours("impression_time", "published_time"),
                           "sentiment_label": sentiment_to_int("sentiment_label")})

@@ -6,12 +6,15 @@ data is a TPC-H-like star schema plus an event log, so each reference table
 is re-expressed as a view over it; the same views are written as SQL CTEs in
 ``rankfold.plans.oracle`` so the DuckDB oracle sees identical inputs.
 
-* candidates (exploded impressions): one row per lineitem of an order.
+* candidates (exploded impressions): one row per lineitem of an order,
+  positioned row-wise (no per-order collect).
   impression = order, user = customer, article = part, time = order date,
   clicked = return flag 'R', candidate position = order of
   (l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) inside the
   order, starting at 0.
-* behaviors: one row per order with the in-view and clicked id arrays.
+* behaviors: one row per order with the in-view and clicked id arrays (the
+  reference's input format, bounded by what one page shows); used by the
+  explode/label and list-encoding queries whose subject is that format.
 * events view: user, article = props.k, time = ts, category = event type,
   read time = value, label = event type 'click'.
 * history: one row per user with four parallel arrays sorted by time.
@@ -71,21 +74,25 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (impression, position) with the line's numeric fields,
     used as model scores: score_a = l_discount (many ties, inside [0,1]),
-    score_b = l_extendedprice (outside [0,1]), score_c = l_tax."""
-    ol = order_lines(spark, sf_dir)
-    exploded = ol.select(
-        F.col("l_orderkey").alias("impression_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderdate").alias("impression_time"),
-        F.posexplode("lines").alias("pos", "line"))
-    return exploded.select(
-        "impression_id", "user_id", "impression_time", F.col("pos").cast("long").alias("pos"),
-        F.col("line.l_partkey").alias("article_id"),
-        (F.col("line.l_returnflag") == "R").cast("int").alias("line_label"),
-        F.col("line.l_discount").alias("score_a"),
-        F.col("line.l_extendedprice").alias("score_b"),
-        F.col("line.l_tax").alias("score_c"),
-        F.col("line.l_quantity").alias("quantity"))
+    score_b = l_extendedprice (outside [0,1]), score_c = l_tax.
+
+    The position is computed row-wise (a window per order when the largest
+    order is below a measured bound, the distributed index otherwise), so no
+    order's lines are collected into one value."""
+    from rankfold.operators.sequence import positions
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", *LINE_ORDER, "l_returnflag", "l_discount", "l_tax", "l_quantity")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    j = li.join(orders, "l_orderkey", "inner")
+    p = positions(j, ["l_orderkey"], [*LINE_ORDER, "l_returnflag", "l_discount", "l_tax", "l_quantity"], "pos")
+    return p.select(
+        F.col("l_orderkey").alias("impression_id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_orderdate").alias("impression_time"), F.col("pos").cast("long").alias("pos"),
+        F.col("l_partkey").alias("article_id"),
+        (F.col("l_returnflag") == "R").cast("int").alias("line_label"),
+        F.col("l_discount").alias("score_a"), F.col("l_extendedprice").alias("score_b"),
+        F.col("l_tax").alias("score_c"), F.col("l_quantity").alias("quantity"))
 
 
 def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +109,10 @@ def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user parallel arrays sorted by (time, event_id): the reference's
-    history layout.  Built once per test; in production it is an input."""
+    history *input* layout, rebuilt here only for the queries whose subject
+    is that array format (parallel explode, per-row list statistics).  Every
+    feature job reads history in long form (``events_view``) instead, so
+    this collect is never on a feature path."""
     ev = events_view(spark, sf_dir)
     s = F.array_sort(F.collect_list(F.struct(
         "impression_time", "event_id", "article_id", "read_time", "scroll_percentage")))
