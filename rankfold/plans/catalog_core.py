@@ -238,3 +238,21 @@ def q_blend_norm(spark, sf):
     t2 = c.select(*key, F.col("score_b").alias("score"))   # prices: normalised per impression
     b = R.blend_scores([t1, t2], None, key=key, norm=True)
     return b.select(*key, r6("score").alias("score"))
+
+
+@query("score_files_blend", with_(CAND) + """
+SELECT impression_id, user_id, pos, ROUND(0.25 * score_a + 0.75 * score_c, 6) AS en_score FROM cand""")
+def q_score_files_blend(spark, sf):
+    """Two model-score tables written as CSV files (S9) into the shared
+    folder, read back side by side by key (S4) and summed with weights (R4)."""
+    from rankfold.sources.io import read_score_files, write_csv
+    from rankfold.streaming.stream_ops import stream_folder
+    c = st.candidate_lines(spark, sf)
+    key = ["impression_id", "user_id", "pos"]
+    base = stream_folder(spark, "score_files")
+    write_csv(c.select(*key, F.col("score_a").alias("score")), f"{base}/dnn_a")
+    write_csv(c.select(*key, F.col("score_c").alias("score")), f"{base}/dnn_b")
+    s = read_score_files(spark, {"a": f"{base}/dnn_a", "b": f"{base}/dnn_b"}, key,
+                         schema="impression_id long, user_id long, pos long, score double")
+    s = s.withColumns({"a": F.col("a") * 0.25, "b": F.col("b") * 0.75})
+    return R.score_sum(s, ["a", "b"]).select(*key, r6("en_score").alias("en_score"))

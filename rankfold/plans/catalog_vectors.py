@@ -232,8 +232,8 @@ def q_softmax_attend(spark, sf):
     return out.select("user_id", rv("attended").alias("attended"))
 
 
-@query("pca_embed")
+@query("pca64")
 def q_pca(spark, sf):
     """Rows-only: a component's sign is arbitrary."""
     v = st.vectors(spark, sf)
-    return V.pca(v, "embedding", 16).select("article_id", "pca")
+    return V.pca(v, "embedding", 64).select("article_id", "pca")
