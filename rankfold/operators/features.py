@@ -117,27 +117,59 @@ def _join_back(df: DataFrame, stats: DataFrame, keys: list[str], null_safe: bool
     return df.join(renamed, cond, "left").drop(*[f"_gk_{k}" for k in keys])
 
 
+def _anchor(keys: tuple[str, ...], all_sets: list[tuple[str, ...]]) -> str:
+    """The key of a key set shared by the most key sets (the pivot)."""
+    return max(keys, key=lambda k: (sum(k in ks for ks in all_sets), -keys.index(k)))
+
+
 def attach_stats(df: DataFrame, key_sets: list[tuple[list[str], list[tuple[str, str | None, str]]]],
-                 order: list[str] | None = None, form: str = "aggregate",
-                 null_safe: bool = True, median_strategy: str = "auto") -> DataFrame:
+                 order: list[str] | None = None, form: str = "auto",
+                 null_safe: bool = True, median_strategy: str = "auto",
+                 max_group_rows: int = 5_000_000) -> DataFrame:
     """Add the statistics of every key set to each row of ``df``.
 
     ``key_sets`` = ``[(keys, spec), ...]``; specs with equal keys are fused.
+    ``auto`` groups the key sets by their pivot (the key most of them share,
+    e.g. ``user_id`` for ``(user_id)``, ``(dayofyear, user_id)``, ...),
+    measures the pivot's largest group with one partial aggregate, and uses
+    the window form — one repartition by the pivot serves every key set of
+    that pivot — when it is below ``max_group_rows``; a hot pivot gets the
+    aggregate + join-back form.
     """
+    from rankfold.operators.ordered import largest_group
     fused: dict[tuple[str, ...], list] = {}
     for keys, spec in key_sets:
         fused.setdefault(tuple(keys), []).extend(spec)
+    o = F.struct(*[F.col(c) for c in order]) if order else None
     if form == "window":
-        o = F.struct(*[F.col(c) for c in order]) if order else None
         cols = {}
         for keys, spec in fused.items():
             w = Window.partitionBy(*keys)
             for kind, col, name in spec:
                 cols[name] = _agg_expr(kind, col, o, w)
         return df.withColumns(cols)
+    if form == "auto":
+        by_pivot: dict[str, list[tuple[str, ...]]] = {}
+        for keys in fused:
+            by_pivot.setdefault(_anchor(keys, list(fused)), []).append(keys)
+        out = df
+        for pivot, sets in by_pivot.items():
+            if largest_group(df, [pivot]) <= max_group_rows:
+                out = out.repartition(pivot)
+                cols = {}
+                for keys in sets:
+                    w = Window.partitionBy(*keys)
+                    for kind, col, name in fused[keys]:
+                        cols[name] = _agg_expr(kind, col, o, w)
+                out = out.withColumns(cols)
+            else:
+                for keys in sets:
+                    stats = group_stats(df, list(keys), fused[keys], order, median_strategy, max_group_rows)
+                    out = _join_back(out, stats, list(keys), null_safe)
+        return out
     out = df
     for keys, spec in fused.items():
-        stats = group_stats(df, list(keys), spec, order, median_strategy)
+        stats = group_stats(df, list(keys), spec, order, median_strategy, max_group_rows)
         out = _join_back(out, stats, list(keys), null_safe)
     return out
 
@@ -176,7 +208,7 @@ COUNT_KEY_SETS = [
 ]
 
 
-def count_features(df: DataFrame, names: list[str] | None = None, form: str = "aggregate") -> DataFrame:
+def count_features(df: DataFrame, names: list[str] | None = None, form: str = "auto") -> DataFrame:
     """Row counts over entity/clock key sets."""
     sets = [(keys, [("count", None, name)]) for name, keys in COUNT_KEY_SETS
             if names is None or name in names]
