@@ -36,6 +36,12 @@ def token_counts(df: DataFrame, col: str, explode: bool = False, splitter: str |
     return tok.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
+def max_list_len(df: DataFrame, col: str, splitter: str | None = None) -> int:
+    """Longest list (or split text) in a column: one aggregate."""
+    c = split_tokens(col, splitter) if splitter is not None else F.col(col)
+    return int(df.agg(F.max(F.size(c)).alias("m")).first()["m"] or 0)
+
+
 def frequency_vocab(counts: DataFrame, min_count: int = 1, max_features: int | None = None,
                     na_value=None, start: int = 1) -> DataFrame:
     """Ids by descending count then token, from ``start``.
@@ -152,10 +158,14 @@ def vocab_from_size(spark, size: int) -> DataFrame:
 class ScalerModel:
     kind: str
     stats: dict[str, tuple[float, float]]
+    fn: object = None
 
     def transform(self, df: DataFrame, clip: bool = False) -> DataFrame:
         cols = {}
         for c, (a, b) in self.stats.items():
+            if self.kind == "callable":
+                cols[c] = self.fn(F.col(c))
+                continue
             if self.kind == "minmax":
                 rng = (b - a) if (a is not None and b is not None and b != a) else 1.0
                 v = (F.col(c) - F.lit(a)) / F.lit(rng)
@@ -170,7 +180,10 @@ class ScalerModel:
 
 def fit_scaler(df: DataFrame, cols: list[str], kind: str = "minmax") -> ScalerModel:
     """One aggregate for all columns (E13/E15); a constant column maps to 0.
-    The standard scaler uses the population standard deviation."""
+    The standard scaler uses the population standard deviation.  ``kind``
+    may also be a ``Column -> Column`` function, applied as is (U5)."""
+    if callable(kind):
+        return ScalerModel("callable", {c: (None, None) for c in cols}, kind)
     if kind == "minmax":
         exprs = [e for c in cols for e in (F.min(c).alias(f"a_{c}"), F.max(c).alias(f"b_{c}"))]
     elif kind == "standard":

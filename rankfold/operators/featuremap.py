@@ -162,7 +162,8 @@ def fit_encoder(train: DataFrame, categorical: list[str] = (), numeric: list[str
     for c, opt in (sequences or {}).items():
         v = E.frequency_vocab(E.token_counts(train, c, splitter=opt.get("splitter", " ")),
                               min_count=opt.get("min_count", min_count), na_value="")
-        m.sequences[c] = (v, E.vocab_size(v), opt.get("max_len", 5), opt.get("splitter", " "))
+        max_len = opt.get("max_len") or E.max_list_len(train, c, opt.get("splitter", " "))
+        m.sequences[c] = (v, E.vocab_size(v), max_len, opt.get("splitter", " "))
     return m
 
 

@@ -520,3 +520,21 @@ def q_encoder_fit_transform(spark, sf):
     model = fit_encoder(c.where(cut), categorical=["category"], numeric=["quantity"])
     out = model.transform(c.where(~cut), ["impression_id", "pos"])
     return out.select("impression_id", "pos", "category", r6("quantity").alias("quantity"))
+
+
+@query("pretrained_lookup", with_(CAND) + """
+, c AS (SELECT article_id AS token, count(*) AS n FROM cand GROUP BY 1),
+v AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS id FROM c WHERE n >= 40)
+SELECT v.id, v.token, list_transform(coalesce(CAST(e.embedding AS DOUBLE[]), list_resize([]::DOUBLE[], 64, 0.0)),
+                                     lambda x: round(x, 6)) AS value
+FROM v LEFT JOIN embeddings e ON v.token = e.vec_id""")
+def q_pretrained_lookup(spark, sf):
+    """Pretrained vector per vocabulary id; keys missing from the embedding
+    table get a zero vector (S5/J10)."""
+    from rankfold.operators.joins import attach_pretrained
+    from rankfold.sources.io import read_embeddings
+    c = st.candidate_lines(spark, sf)
+    v = E.frequency_vocab(E.token_counts(c, "article_id"), min_count=40)
+    emb = read_embeddings(spark, f"{sf.rstrip('/')}/embeddings.parquet", "vec_id", "embedding")
+    out = attach_pretrained(v.select("token", "id"), emb, 64)
+    return out.select("id", "token", F.transform("value", lambda x: F.round(x, 6)).alias("value"))

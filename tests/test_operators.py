@@ -223,3 +223,28 @@ def test_distributed_median_equals_aggregate(spark):
     a = FT.group_stats(df, ["k"], spec, median_strategy="chunked")
     b = FT.group_stats(df, ["k"], spec, median_strategy="window")
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_feature_specs_layout_and_vocab_by_size(spark):
+    from rankfold.operators import featuremap as FM
+    specs = FM.expand_specs([{"name": ["a", "b"], "type": "categorical", "source": "user"},
+                             {"name": "seq", "type": "sequence", "source": "item", "max_len": 5},
+                             {"name": "off", "type": "numeric", "active": False}])
+    assert [s["name"] for s in specs] == ["a", "b", "seq"]
+    lay = FM.layout(specs)
+    assert lay["offsets"] == {"a": 0, "b": 1, "seq": 2} and lay["total_features"] == 7
+    v = E.vocab_from_size(spark, 4).orderBy("id").collect()
+    assert [(r.token, r.id) for r in v] == [("0", 1), ("1", 2), ("2", 3)]
+    fmap = FM.feature_map(spark, [{"name": "a", "type": "categorical", "vocab": spark.createDataFrame(
+        [("x", 1), ("y", 2)], "token string, id long")}, {"name": "b", "type": "numeric"}])
+    only_a = FM.restrict_and_override(fmap, spark.createDataFrame([("a",)], "feature string"),
+                                      spark.createDataFrame([("a", 9)], "feature string, max_len long"))
+    r = only_a.first()
+    assert only_a.count() == 1 and r.vocab_size == 4 and r.oov_idx == 3 and r.max_len == 9
+
+
+def test_callable_normalizer_and_max_list_len(spark):
+    df = spark.createDataFrame([(1.0, "a b c"), (3.0, "d")], "x double, t string")
+    m = E.fit_scaler(df, ["x"], lambda c: c * 10)
+    assert [r.x for r in m.transform(df).collect()] == [10.0, 30.0]
+    assert E.max_list_len(df, "t", " ") == 3
