@@ -49,14 +49,12 @@ def sequence_long(hist: DataFrame, user: str, item: str, ts: str, tiebreak: list
     return positions(h, [user], [ts, *tiebreak, item], "seq_pos", strategy)
 
 
-def assemble(long: DataFrame, keys: list[str], value: str, max_len: int | None = None,
+def assemble(long: DataFrame, keys: list[str], value: str, max_len: int,
              pos: str = "seq_pos", out: str | None = None) -> DataFrame:
-    """Array of ``value`` by position; with ``max_len`` only the last
-    ``max_len`` positions are kept before collecting (bounded arrays)."""
+    """Array of ``value`` by position, of the last ``max_len`` positions only:
+    rows are filtered before collecting, so every array is bounded."""
     out = out or f"{value}_seq"
-    src = long
-    if max_len is not None:
-        src = src.where(F.col(pos) >= F.col("seq_n") - F.lit(max_len))
+    src = long.where(F.col(pos) >= F.col("seq_n") - F.lit(max_len))
     g = src.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(pos, value))).alias("_l"))
     return g.select(*keys, F.transform("_l", lambda x: x[value]).alias(out))
 
