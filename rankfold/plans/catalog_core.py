@@ -14,6 +14,16 @@ from rankfold.plans.registry import query, r6
 from rankfold.sources import staging as st
 
 
+def labeled_candidates(spark, sf):
+    """Candidates with the membership label computed row-wise: an article is
+    clicked in an impression when any of its lines there is clicked (a
+    max over (impression, article), no per-impression list)."""
+    from rankfold.operators.features import attach_stats
+    c = st.candidate_lines(spark, sf)
+    out = attach_stats(c, [(["impression_id", "article_id"], [("max", "line_label", "label")])])
+    return out.withColumn("label", F.col("label").cast("int"))
+
+
 def candidates(spark, sf):
     """Behaviors exploded to candidates with the membership label."""
     b = st.behaviors(spark, sf)
@@ -46,7 +56,7 @@ SELECT c.impression_id, c.pos, c.article_id, c.label, a.category, a.article_type
        CAST(a.total_inviews AS BIGINT) AS total_inviews
 FROM cand_l c LEFT JOIN art a ON c.article_id = a.article_id""")
 def q_join_articles(spark, sf):
-    c = candidates(spark, sf)
+    c = labeled_candidates(spark, sf)
     a = st.articles(spark, sf).select("article_id", "category", "article_type", "published_time",
                                       "total_inviews")
     j = lookup_join(c, a, "article_id")

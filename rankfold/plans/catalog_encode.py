@@ -363,8 +363,8 @@ SELECT impression_id, pos, CAST(item_index AS BIGINT) AS item_index, CAST(user_i
        CAST(hour(impression_time) AS INTEGER) AS impression_hour, CAST(isodow(impression_time) AS INTEGER) AS impression_weekday
 FROM d""")
 def q_sample_table(spark, sf):
-    from rankfold.plans.catalog_core import candidates
-    c = candidates(spark, sf).withColumnRenamed("label", "click")
+    from rankfold.plans.catalog_core import labeled_candidates
+    c = labeled_candidates(spark, sf).withColumnRenamed("label", "click")
     art = st.articles(spark, sf).select("article_id", "published_time")
     items = I.dense_ids(art, "article_id", "item_index")
     users = I.dense_ids(st.events_view(spark, sf), "user_id", "user_index")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankfold.operators import metrics as M
-from rankfold.plans.catalog_core import candidates
+from rankfold.plans.catalog_core import labeled_candidates
 from rankfold.plans.oracle import CAND_LABELED, with_
 from rankfold.plans.registry import query, r6
 from rankfold.sources import staging as st
@@ -14,9 +14,9 @@ from rankfold.sources import staging as st
 def scored(spark, sf):
     """Labeled candidates with model-score stand-ins: ``score`` = l_discount
     (11 distinct values: heavy ties) and ``prob`` = 10 * l_discount."""
-    c = candidates(spark, sf).select("impression_id", "user_id", "pos", "label")
-    s = st.candidate_lines(spark, sf).select("impression_id", "pos", F.col("score_a").alias("score"))
-    return c.join(s, ["impression_id", "pos"]).withColumn("prob", F.col("score") * 10)
+    c = labeled_candidates(spark, sf)
+    return c.select("impression_id", "user_id", "pos", "label", F.col("score_a").alias("score"),
+                    (F.col("score_a") * 10).alias("prob"))
 
 
 _T = with_(CAND_LABELED) + """
