@@ -24,10 +24,15 @@ def _c(c: ColumnOrName) -> Column:
 
 # ---------------------------------------------------------------- time -----
 
+def ntz_lit(dt: datetime) -> Column:
+    """A wall-clock TIMESTAMP_NTZ literal, independent of the session and
+    Python time zones (a Python datetime literal would go through both)."""
+    return F.lit(dt.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def epoch_micros(ts: ColumnOrName) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (wall clock) value."""
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"),
-                            _c(ts).cast("timestamp_ntz"))
+    return F.timestamp_diff("MICROSECOND", ntz_lit(_EPOCH), _c(ts).cast("timestamp_ntz"))
 
 
 def epoch_seconds(ts: ColumnOrName) -> Column:

@@ -9,11 +9,13 @@ a third of all clicks is never sorted or collected in one task.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.functions.lists import pad_sequence
-from rankfold.functions.scalar import clip_max, duration_days, duration_hours, iso_weekday
+from rankfold.functions.scalar import clip_max, duration_days, duration_hours, iso_weekday, ntz_lit
 from rankfold.operators.index import global_index
 from rankfold.operators.ordered import DEFAULT_MAX_GROUP_ROWS, choose_form
 
@@ -62,7 +64,8 @@ def assemble(long: DataFrame, keys: list[str], value: str, max_len: int,
 def cutoff_lengths(long: DataFrame, user: str, ts: str, cutoffs: dict[str, object]) -> DataFrame:
     """Per user, the number of sequence items strictly before each cutoff,
     all cutoffs in one pass (D3); the full length is ``seq_len_full``."""
-    aggs = [F.count(F.when(F.col(ts) < F.lit(c), 1)).alias(name) for name, c in cutoffs.items()]
+    aggs = [F.count(F.when(F.col(ts) < (ntz_lit(c) if isinstance(c, datetime) else F.lit(c)), 1)).alias(name)
+            for name, c in cutoffs.items()]
     return long.groupBy(user).agg(*aggs, F.count(F.lit(1)).alias("seq_len_full"))
 
 

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from rankfold.functions import lists as L
-from rankfold.functions.scalar import epoch_seconds, hash_bucket, log1p10
+from rankfold.functions.scalar import epoch_seconds, hash_bucket, log1p10, ntz_lit
 from rankfold.operators import encode as E
 from rankfold.operators import index as I
 from rankfold.operators import sequence as Q
@@ -55,7 +55,7 @@ def q_freq_encode(spark, sf):
     c = st.candidate_lines(spark, sf).select("impression_id", "pos", "article_id", "impression_time")
     art = st.articles(spark, sf).select("article_id", "article_type")
     c = c.join(art, "article_id", "left")
-    train = c.where(F.col("impression_time") < F.lit(datetime(1996, 1, 1)))
+    train = c.where(F.col("impression_time") < ntz_lit(datetime(1996, 1, 1)))
     vocab = E.frequency_vocab(E.token_counts(train, "article_type"), min_count=10)
     oov = E.vocab_size(vocab)
     enc = E.encode_column(c, "article_type", vocab, out="type_id", default=oov)
@@ -199,7 +199,7 @@ x AS (SELECT o_orderkey, (o_totalprice - a) / CASE WHEN b = a THEN 1 ELSE b - a
 SELECT o_orderkey, ROUND(CASE WHEN v < 0 THEN 0 WHEN v > 1 THEN 1 ELSE v END, 6) AS price_scaled FROM x""")
 def q_minmax_clip(spark, sf):
     o = st.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").alias("price_scaled"))
-    m = E.fit_scaler(o.where(F.col("o_orderdate") < F.lit(datetime(1996, 1, 1))), ["price_scaled"], "minmax")
+    m = E.fit_scaler(o.where(F.col("o_orderdate") < ntz_lit(datetime(1996, 1, 1))), ["price_scaled"], "minmax")
     out = m.transform(o, clip=True)
     return out.select("o_orderkey", r6("price_scaled").alias("price_scaled"))
 
@@ -341,7 +341,7 @@ def q_seq_last_n_pad(spark, sf):
     s = _seq_long(spark, sf)
     # the point-in-time prefix is the rows before the cutoff (the sequence is
     # time-ordered); only its last 5 positions are ever collected
-    before = s.where(F.col("impression_time") < F.lit(CUT_VALID))
+    before = s.where(F.col("impression_time") < ntz_lit(CUT_VALID))
     n_cut = before.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
     tail = before.join(n_cut, "user_id").withColumn("seq_n", F.col("_n"))
     arr = Q.assemble(tail, ["user_id"], "article_id", max_len=5, out="_last")
@@ -475,7 +475,7 @@ def q_seq_item_lookup(spark, sf):
     """Item attributes for every slot of the padded last-5 sequence (J7);
     padding uses id -1 so it never matches an item."""
     from rankfold.operators.sequence import lookup_items
-    s = _seq_long(spark, sf).where(F.col("impression_time") < F.lit(CUT_VALID))
+    s = _seq_long(spark, sf).where(F.col("impression_time") < ntz_lit(CUT_VALID))
     n_cut = s.groupBy("user_id").agg(F.count(F.lit(1)).alias("seq_n"))
     tail = s.drop("seq_n").join(n_cut, "user_id")
     arr = Q.assemble(tail, ["user_id"], "article_id", max_len=5, out="_last")
@@ -516,7 +516,7 @@ def q_encoder_fit_transform(spark, sf):
     from rankfold.operators.featuremap import fit_encoder
     c = st.candidate_lines(spark, sf).select("impression_id", "pos", "article_id", "impression_time", "quantity")
     c = c.join(st.articles(spark, sf).select("article_id", "category"), "article_id", "left")
-    cut = F.col("impression_time") < F.lit(datetime(1996, 1, 1))
+    cut = F.col("impression_time") < ntz_lit(datetime(1996, 1, 1))
     model = fit_encoder(c.where(cut), categorical=["category"], numeric=["quantity"])
     out = model.transform(c.where(~cut), ["impression_id", "pos"])
     return out.select("impression_id", "pos", "category", r6("quantity").alias("quantity"))

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from rankfold.functions.scalar import duration_days
+from rankfold.functions.scalar import duration_days, ntz_lit
 from rankfold.operators import learn as LN
 from rankfold.plans.registry import query
 from rankfold.sources import staging as st
@@ -28,8 +28,8 @@ def feature_table(spark, sf):
     j = c.join(art, "article_id", "left").join(n, "impression_id")
     j = j.withColumns({"view_days": duration_days("impression_time", "published_time").cast("double"),
                        "label": F.col("line_label").cast("double"),
-                       "split": F.when(F.col("impression_time") < F.lit(CUT_VALID), "train")
-                       .when(F.col("impression_time") < F.lit(CUT_TEST), "valid").otherwise("test")})
+                       "split": F.when(F.col("impression_time") < ntz_lit(CUT_VALID), "train")
+                       .when(F.col("impression_time") < ntz_lit(CUT_TEST), "valid").otherwise("test")})
     return LN.prepare(j, FEATURES)
 
 

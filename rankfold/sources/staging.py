@@ -29,6 +29,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankfold.functions.scalar import ntz_lit
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -151,7 +153,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         label.alias("sentiment_label"),
         (F.col("p_size") > 25).alias("premium"),
         F.timestamp_add("DAY", (F.col("p_partkey") % 2000).cast("int"),
-                        F.lit(PUBLISH_BASE).cast("timestamp_ntz")).alias("published_time"))
+                        ntz_lit(PUBLISH_BASE)).alias("published_time"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
