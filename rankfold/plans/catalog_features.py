@@ -5,11 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankfold.functions.scalar import duration_hours, duration_seconds, with_time_features
+from rankfold.functions.scalar import duration_hours, with_time_features
 from rankfold.operators import features as FT
 from rankfold.operators import ordered as O
-from rankfold.plans.catalog_core import candidates
-from rankfold.plans.oracle import ART, CAND, CAND_LABELED, EV, dur_s, epoch_s, with_
+from rankfold.plans.oracle import ART, CAND, EV, dur_s, epoch_s, with_
 from rankfold.plans.registry import query, r6
 from rankfold.sources import staging as st
 
