@@ -206,6 +206,22 @@ def ratio_features(df: DataFrame, read_time: str = "total_read_time",
     return df.withColumns(cols)
 
 
+def length_features(df: DataFrame, cols: list[str], mode: str = "per_row",
+                    suffix: str = "_len") -> DataFrame:
+    """``<col>_len`` for text and list columns.
+
+    ``per_row``: characters of a string / elements of a list (the evident
+    intent).  ``rowcount``: the column's length as the reference's code
+    computes it — the number of rows of the frame, one count action.
+    """
+    types = dict(df.dtypes)
+    if mode == "rowcount":
+        n = df.count()
+        return df.withColumns({c + suffix: F.lit(float(n)).cast("float") for c in cols})
+    return df.withColumns({c + suffix: (F.size(c) if types[c].startswith("array") else F.length(c)).cast("float")
+                           for c in cols})
+
+
 # ------------------------------------------------ named preprocessors ----
 
 _PREPROCESSORS = {

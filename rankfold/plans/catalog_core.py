@@ -70,16 +70,18 @@ SELECT article_id,
        ROUND(CASE WHEN total_pageviews = 0 THEN NULL ELSE total_read_time / total_pageviews END, 6) AS read_pageviews,
        ROUND(CASE WHEN total_inviews = 0 THEN NULL ELSE total_read_time / total_inviews END, 6) AS read_inviews,
        CASE WHEN sentiment_label IS NULL THEN NULL WHEN sentiment_label = 'Positive' THEN 1 ELSE 0 END AS sentiment_label,
-       CAST(premium AS INTEGER) AS premium, CAST(length(title) AS BIGINT) AS title_len
+       CAST(premium AS INTEGER) AS premium, CAST(length(title) AS BIGINT) AS title_len,
+       ROUND(CASE WHEN length(title) = 0 THEN NULL ELSE total_read_time / length(title) END, 6) AS read_time_word
 FROM art""")
 def q_article_ratios(spark, sf):
-    a = st.articles(spark, sf)
-    a = S.ratio_features(a)
+    a = S.length_features(st.articles(spark, sf), ["title"])
+    a = S.ratio_features(a, words="title_len")
     return a.select("article_id", r6("read_pageviews").alias("read_pageviews"),
                     r6("read_inviews").alias("read_inviews"),
                     S.sentiment_to_int("sentiment_label").alias("sentiment_label"),
                     F.col("premium").cast("int").alias("premium"),
-                    F.length("title").cast("long").alias("title_len"))
+                    F.col("title_len").cast("long").alias("title_len"),
+                    r6("read_time_word").alias("read_time_word"))
 
 
 @query("time_features", with_(EV) + f"""

@@ -248,3 +248,11 @@ def test_callable_normalizer_and_max_list_len(spark):
     m = E.fit_scaler(df, ["x"], lambda c: c * 10)
     assert [r.x for r in m.transform(df).collect()] == [10.0, 30.0]
     assert E.max_list_len(df, "t", " ") == 3
+
+
+def test_length_features_both_modes(spark):
+    df = spark.createDataFrame([("abc", [1, 2]), ("", [])], "t string, l array<long>")
+    per_row = S.length_features(df, ["t", "l"]).collect()
+    assert [(r.t_len, r.l_len) for r in per_row] == [(3.0, 2.0), (0.0, 0.0)]
+    rc = S.length_features(df, ["t"], mode="rowcount").collect()
+    assert [r.t_len for r in rc] == [2.0, 2.0]
