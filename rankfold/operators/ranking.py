@@ -9,18 +9,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP = ["impression_id", "user_id"]
 
 
 def rank_in_group(df: DataFrame, group: list[str] = GROUP, score: str = "score",
-                  pos: str = "pos", out: str = "rank") -> DataFrame:
+                  pos: str = "pos", out: str = "rank", strategy: str = "auto") -> DataFrame:
     """1-based rank by descending score inside the group; ties keep the
-    earlier candidate position first (a stable sort, as in the reference)."""
-    w = Window.partitionBy(*group).orderBy(F.col(score).desc_nulls_last(), F.col(pos).asc())
-    return df.withColumn(out, F.row_number().over(w))
+    earlier candidate position first (a stable sort, as in the reference).
+    A window when the largest group is below the measured bound, the
+    distributed index otherwise (see ``sequence.positions``)."""
+    from rankfold.operators.sequence import positions
+    ranked = positions(df, group, [F.col(score).desc_nulls_last(), F.col(pos).asc()], "_p", strategy)
+    return ranked.withColumn(out, (F.col("_p") + 1).cast("int")).drop("_p", "seq_n")
 
 
 def rank_lists(df: DataFrame, group: list[str] = GROUP, score: str = "score",
@@ -51,10 +54,13 @@ def score_range(df: DataFrame, score: str = "score") -> tuple[float, float]:
 
 
 def minmax_in_group(df: DataFrame, group: list[str] = GROUP, score: str = "score") -> DataFrame:
-    """Per-group min-max normalisation (W17); a constant group gives NULL."""
-    w = Window.partitionBy(*group)
-    lo, hi = F.min(score).over(w), F.max(score).over(w)
-    return df.withColumn(score, F.try_divide(F.col(score) - lo, hi - lo))
+    """Per-group min-max normalisation (W17); a constant group gives NULL.
+    Group min/max come from ``attach_stats`` (windows for bounded groups,
+    map-side aggregates + join back for a hot group)."""
+    from rankfold.operators.features import attach_stats
+    st = attach_stats(df, [(group, [("min", score, "_lo"), ("max", score, "_hi")])])
+    norm = F.try_divide(F.col(score) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    return st.withColumn(score, norm).drop("_lo", "_hi")
 
 
 def blend_scores(tables: list[DataFrame], weights: list[float] | None = None,

@@ -256,3 +256,11 @@ def test_length_features_both_modes(spark):
     assert [(r.t_len, r.l_len) for r in per_row] == [(3.0, 2.0), (0.0, 0.0)]
     rc = S.length_features(df, ["t"], mode="rowcount").collect()
     assert [r.t_len for r in rc] == [2.0, 2.0]
+
+
+def test_rank_in_group_chunked_equals_window(spark):
+    rows = [(0 if i < 150 else i % 7, 1, i, float((i * 13) % 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "impression_id long, user_id long, pos long, score double")
+    a = R.rank_in_group(df, strategy="chunked").select("impression_id", "pos", "rank")
+    b = R.rank_in_group(df, strategy="window").select("impression_id", "pos", "rank")
+    assert a.exceptAll(b).count() == 0 and a.count() == 300
