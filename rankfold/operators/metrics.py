@@ -84,10 +84,14 @@ def impression_auc(df: DataFrame, group: list[str], label="label", score="score"
     return g.agg(F.avg(F.coalesce(F.col("auc"), F.lit(1.0))).alias("impression_auc"))
 
 
-def _ranked(df: DataFrame, group: list[str], score: str, pos: str, by: str | None = None) -> DataFrame:
+def _ranked(df: DataFrame, group: list[str], score: str, pos: str, by: str | None = None,
+            out: str = "_rank", strategy: str = "auto") -> DataFrame:
+    """1-based rank by descending ``by`` (default the score), ties by
+    position; a window only when the largest group is below the bound."""
+    from rankfold.operators.sequence import positions
     key = F.col(by or score)
-    w = Window.partitionBy(*group).orderBy(key.desc_nulls_last(), F.col(pos).asc())
-    return df.withColumn("_rank", F.row_number().over(w))
+    r = positions(df, group, [key.desc_nulls_last(), F.col(pos).asc()], "_p0", strategy)
+    return r.withColumn(out, F.col("_p0") + 1).drop("_p0", "seq_n")
 
 
 def mrr(df: DataFrame, group: list[str], label="label", score="score", pos="pos") -> DataFrame:
@@ -103,8 +107,7 @@ def ndcg(df: DataFrame, group: list[str], k: int, label="label", score="score",
     y = F.col(label).cast("double")
     gain = F.pow(F.lit(2.0), y) - F.lit(1.0)
     r = _ranked(df, group, score, pos)
-    r = r.withColumn("_irank", F.row_number().over(
-        Window.partitionBy(*group).orderBy(F.col(label).desc(), F.col(pos).asc())))
+    r = _ranked(r, group, score, pos, by=label, out="_irank")
     disc = lambda c: F.log2(F.col(c) + F.lit(1.0))
     g = r.groupBy(*group).agg(
         F.sum(F.when(F.col("_rank") <= k, gain / disc("_rank")).otherwise(0.0)).alias("_dcg"),
