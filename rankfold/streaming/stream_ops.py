@@ -123,7 +123,14 @@ def user_gaps(events: DataFrame, ts: str = "ts") -> DataFrame:
     No state timeout: a processing-time timeout makes every trigger run
     extra no-data batches (an available-now run would not end); idle-user
     eviction belongs to a watermark-driven event-time timeout upstream."""
+    import sys
+
+    from pyspark import cloudpickle
+
     from rankfold.functions.scalar import epoch_micros
+    # ship the state function by value: executors need not have this
+    # package on their path (it only uses numpy and pandas)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     src = events.select("event_id", "user_id", epoch_micros(ts).alias("ts_us"))
     return src.groupBy("user_id").applyInPandasWithState(
         _gap_fn, GAP_SCHEMA, GAP_STATE, "append", GroupStateTimeout.NoTimeout)
