@@ -43,3 +43,17 @@ def test_filter_and_columns_pushed_to_scan(spark):
 def test_article_join_is_broadcast(spark):
     plan = _plan(QUERIES["join_articles"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+@pytest.mark.parametrize("name", ["user_lag_lead_chunked", "gauc_skewsafe", "rolling_global_5", "auc",
+                                  "quantile_bucket", "split_sequential"])
+def test_skew_safe_forms_never_use_one_partition(spark, name):
+    """The distributed index / prefix-sum paths never gather the data into a
+    single partition (no global sort, no unpartitioned window).  The only
+    single-partition exchange allowed is the one under a global aggregate,
+    which receives one partial row per partition."""
+    lines = _plan(QUERIES[name](spark, SF_SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            assert "HashAggregate" in child and "partial_" in child, (line, child)
