@@ -264,3 +264,13 @@ def test_rank_in_group_chunked_equals_window(spark):
     a = R.rank_in_group(df, strategy="chunked").select("impression_id", "pos", "rank")
     b = R.rank_in_group(df, strategy="window").select("impression_id", "pos", "rank")
     assert a.exceptAll(b).count() == 0 and a.count() == 300
+
+
+def test_hamming_topk_masks_last_and_attention_all_masked(spark):
+    df = spark.createDataFrame([(5, [5, 4, 5, 0], [1, 1, 0, 1])], "t long, codes array<long>, mask array<int>")
+    # sims: slot0 0, slot1 -1 (5 xor 4 = 1 bit), slot2 masked -8, slot3 -2 (5 xor 0 = 2 bits)
+    assert df.select(V.hamming_topk("t", "codes", "mask", 4, 8).alias("k")).first().k == [0, 1, 3, 2]
+    vec = spark.createDataFrame([([1.0, 0.0], [[1.0, 0.0], [0.0, 1.0]], [0, 0])],
+                                "q array<double>, h array<array<double>>, m array<int>")
+    out = V.softmax_attend(vec, "q", "h", "h", "m", 2).first().attended
+    assert out == pytest.approx([0.5, 0.5])   # all masked: uniform weights, as in the reference
