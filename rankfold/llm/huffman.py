@@ -134,6 +134,10 @@ def unpack_blocks(payload: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
     return out[np.arange(out.shape[1])[None, :] < sizes[:, None]]
 
 
+def id_type(vocab: int) -> str:
+    return "<u2" if vocab <= 65536 else "<u4"
+
+
 def id_counts(staged: DataFrame, vocab: int) -> dict[int, int]:
     """Global id counts: one partial row per id and partition, summed by Spark;
     the driver gets at most one row per vocabulary entry."""
@@ -141,7 +145,7 @@ def id_counts(staged: DataFrame, vocab: int) -> dict[int, int]:
         total = np.zeros(vocab, np.int64)
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                ids = np.frombuffer(b"".join(b.column(0).slice(at, 256).to_pylist()), "<u2" if vocab <= 65536 else "<u4")
+                ids = np.frombuffer(b"".join(b.column(0).slice(at, 256).to_pylist()), id_type(vocab))
                 total += np.bincount(ids, minlength=vocab)
         hit = np.flatnonzero(total)
         yield pa.record_batch([pa.array(hit, pa.int64()), pa.array(total[hit], pa.int64())], names=["id", "n"])
@@ -152,16 +156,10 @@ def id_counts(staged: DataFrame, vocab: int) -> dict[int, int]:
 
 def write_ids(tokens: DataFrame, path: str, vocab: int, block_ids: int = 1024, max_bits: int = 16,
               file_bytes: int = 8 << 20) -> None:
-    """Encode ``tokens`` (doc_id, ids as little-endian u32) into files at ``path``."""
+    """Encode ``tokens`` (doc_id, ids as ``id_type(vocab)``) into files at ``path``."""
     spark = tokens.sparkSession
-    narrow = "<u2" if vocab <= 65536 else "<u4"
-
-    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [np.frombuffer(x or b"", "<u4").astype(narrow).tobytes() for x in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    staged = stored(tokens.select("doc_id", "ids").mapInArrow(shrink, "doc_id long, ids binary"), "token-ids")
+    narrow = id_type(vocab)
+    staged = stored(tokens.select("doc_id", "ids"), "token-ids")
     counts = id_counts(staged, vocab)
     by_id = code_lengths(counts, max_bits)
     lengths = np.zeros(vocab, np.int64)
@@ -308,5 +306,6 @@ def encode_corpus(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str |
     """Tokenize and write a document table; returns the files' folder."""
     from rankfold.llm.tokens import token_ids, vocabulary_size
     path = path or shared_path(docs.sparkSession, "huffman")
-    write_ids(token_ids(docs, tokenizer, end_id), path, max(vocabulary_size(tokenizer), end_id + 1))
+    vocab = max(vocabulary_size(tokenizer), end_id + 1)
+    write_ids(token_ids(docs, tokenizer, end_id, dtype=id_type(vocab)), path, vocab)
     return path

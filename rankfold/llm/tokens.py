@@ -10,6 +10,7 @@ text.  The memory is emptied when it holds ``MAX_WORDS`` words.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_WORDS = 400_000
+MAX_WORDS = 300_000
+# Words that are one letters-only pre-token and that normalization only lower-cases:
+# letters below U+0250 but for U+0130, whose lower case is not a letter sequence.
+_EASY = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -50,35 +54,43 @@ class Encoder:
             self.ends = np.zeros(self.vocab_size + 1, bool)
             for token, i in model["vocab"].items():
                 self.ends[i] = token.endswith("</w>")
-            self.chars = dict(enumerate(_byte_chars()))
+            del spec, model
+            self.chars = dict(enumerate(_byte_chars())) | {32: " "}
             self.tails = {c: np.array(self.exact.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
                           for c in (b".", b",")}
 
-    @staticmethod
-    def _letters(word: str) -> bool:
-        """One letters-only pre-token that normalization leaves alone: letters
-        below U+0250 have no canonical reordering, and U+0130 is the only one
-        whose lower case is not a letter sequence."""
-        return word.isalpha() and max(word) < "ɐ" and "İ" not in word
-
     def _learn(self, missing: list[bytes]) -> None:
-        words, easy, core, hard = self.words, [], [], []
+        """Encode unseen words: letters-only ones, with or without a final mark,
+        many at a time without normalization; all others one by one."""
+        words = self.words
+        plain = [w for w in missing if w.isalpha()]  # bytes: ASCII letters only
+        wide, hard, marked = [], [], []
         for w in missing:
-            tail = w[-1:] if w[-1:] in self.tails else b""
-            body = w[:-1] if tail else w
-            text = body.decode()
-            if body and self._letters(text):
-                easy.append((w, tail))
-                core.append(text.lower().encode().decode("latin-1").translate(self.chars))
+            if w.isalpha():
+                continue
+            body, mark = (w[:-1], w[-1:]) if w[-1:] in self.tails else (w, b"")
+            if body.isalpha():
+                plain.append(body)
+            elif _EASY(body.decode()):
+                wide.append(body)
             else:
                 hard.append(w)
-        for at in range(0, len(core), 1000):
-            ids = np.array(self.plain.encode(" ".join(core[at:at + 1000]), add_special_tokens=False).ids, "<u4")
-            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            raw, start = ids.tobytes(), 0
-            for (w, tail), cut in zip(easy[at:at + 1000], cuts, strict=True):
-                words[w] = raw[start:cut] + self.tails[tail] if tail else raw[start:cut]
-                start = cut
+                continue
+            if mark:
+                marked.append((w, body, mark))
+        for some in (plain, wide):
+            some = [w for w in dict.fromkeys(some) if w not in words]
+            for at in range(0, len(some), 2000):
+                part = some[at:at + 2000]
+                text = b" ".join(part).decode()
+                if not text.isascii():
+                    text = text.lower().encode().decode("latin-1").translate(self.chars)
+                ids = np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
+                cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                if len(cuts) != len(part):
+                    raise ValueError("a word was not one pre-token")
+                words.update(zip(part, map(ids.tobytes().__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+        words.update((w, words[body] + self.tails[mark]) for w, body, mark in marked)
         if hard:
             for w, e in zip(hard, self.exact.encode_batch_fast([w.decode() for w in hard], add_special_tokens=False)):
                 words[w] = np.array(e.ids, "<u4").tobytes()
@@ -86,33 +98,35 @@ class Encoder:
     def _direct(self, text: str) -> bytes:
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text (null: none)."""
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each UTF-8 text (null: none)."""
         if self.plain is None:
-            return [self._direct(t) if t else b"" for t in texts]
+            return [self._direct(t.decode()) if t else b"" for t in texts]
         out: list[bytes | None] = [None] * len(texts)
         at = 0
         while at < len(texts):  # groups of texts of about a megabyte
-            group, size = [], 0
+            if len(self.words) > MAX_WORDS:
+                self.words = {}
+            get, group, missing, size = self.words.get, [], [], 0
             while at < len(texts) and size < 1_000_000:
-                raw = (texts[at] or "").encode("utf-8", "replace").lower()  # A-Z only
+                raw = (texts[at] or b"").lower()  # A-Z only
                 if any(t in raw for t in self.added):
-                    out[at] = self._direct(texts[at])
+                    out[at] = self._direct(texts[at].decode())
                 else:
-                    group.append((at, raw.split()))  # ASCII white space only
+                    ws = raw.split()  # ASCII white space only
+                    ids = list(map(get, ws))
+                    holes = [i for i, x in enumerate(ids) if x is None]
+                    lost = [ws[i] for i in holes]
+                    missing += lost
+                    group.append((at, ids, holes, lost))
                 size += len(raw)
                 at += 1
-            seen: set[bytes] = set()
-            for _, ws in group:
-                seen.update(ws)
-            if len(self.words) > MAX_WORDS:
-                self.words = {}
-            missing = list(seen.difference(self.words))
             if missing:
-                self._learn(missing)
-            get = self.words.__getitem__
-            for i, ws in group:
-                out[i] = b"".join(map(get, ws))
+                self._learn(list(dict.fromkeys(missing)))
+            for i, ids, holes, lost in group:
+                for k, w in zip(holes, lost):
+                    ids[k] = self.words[w]
+                out[i] = b"".join(ids)
         return out
 
 
@@ -127,19 +141,36 @@ def vocabulary_size(path: str) -> int:
     return encoder(path).vocab_size
 
 
-def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
+def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
+              dtype: str = "<u4", piece: int | None = None) -> DataFrame:
     """(doc_id, ids): ids of the whole text, then ``end_id``, as little-endian
-    unsigned 32-bit integers.  A null text gives ``end_id`` alone."""
-    end = np.array([end_id], "<u4").tobytes()
+    unsigned integers.  A null text gives ``end_id`` alone.
+
+    With ``piece``, documents are cut every ``piece`` ids: (doc_id, piece,
+    start, length, ids)."""
+    end, size = np.array([end_id], "<u4").tobytes(), 4
+    names = ["doc_id", "ids"] if piece is None else ["doc_id", "piece", "start", "length", "ids"]
+
+    def narrow(ids: bytes) -> bytes:
+        return ids if dtype == "<u4" else np.frombuffer(ids, "<u4").astype(dtype).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
                 ids = [x + end for x in enc.encode(part.column(1).to_pylist())]
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, ids binary")
+                if piece is None:
+                    yield pa.record_batch([part.column(0), pa.array(map(narrow, ids), pa.binary())], names=names)
+                    continue
+                cut = [(i, k, x[p:p + size * piece]) for i, x in enumerate(ids) for k, p in enumerate(range(0, len(x), size * piece))]
+                where = pa.array([c[0] for c in cut], pa.int64())
+                no = np.array([c[1] for c in cut], np.int32)
+                yield pa.record_batch([
+                    part.column(0).take(where), pa.array(no), pa.array(no.astype(np.int64) * piece),
+                    pa.array([len(c[2]) // size for c in cut], pa.int64()), pa.array([narrow(c[2]) for c in cut], pa.binary())],
+                    names=names)
+
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    return src.mapInArrow(run, "doc_id long, ids binary" if piece is None
+                          else "doc_id long, piece int, start long, length long, ids binary")
