@@ -21,16 +21,18 @@ from pyspark.sql import functions as F
 
 from rankfold.llm import decontam, langid, linededup, packing, simhash
 from rankfold.llm.queries import tokenizer_path
-from rankfold.llm.store import stored
+from rankfold.llm.store import ship, stored
 
 LINE_COUNT = 10
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return langid.keep_recognised(docs, langid.fit(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     done = linededup.drop_repeated_lines(docs, min_count=LINE_COUNT)
     dropped = F.col(done.columns[-1])
     left = F.coalesce(F.length(F.trim("text")), F.lit(0))
@@ -42,14 +44,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return simhash.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return packing.pack_documents(docs, tokenizer_path()).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 

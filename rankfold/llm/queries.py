@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.llm import chat, decontam, huffman, langid, linededup, packing, simhash, topk, urlfilter, warc
+from rankfold.llm.store import ship
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 WORD_BPE = "word_bpe_49k.json"
@@ -22,6 +23,7 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,7 +8,10 @@ and no executor reads another one's local disk.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,25 @@ from pyspark.sql import functions as F
 from rankfold.session import ensure_checkpoint_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: tasks import
+    it whatever folder they run in.  The archive is code only; Spark copies it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rankfold_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(root):
+        path = os.path.join(tempfile.mkdtemp(prefix="rankfold-code-"), "rankfold_code.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in sorted(os.walk(root)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("rankfold", os.path.relpath(full, root)))
+        sc.addPyFile(path)
+    sc._rankfold_shipped = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
