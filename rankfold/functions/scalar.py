@@ -8,6 +8,9 @@ reference's widths only where a caller asks (``cast``); by default they are
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -188,9 +191,12 @@ def hash_bucket(c: ColumnOrName, num_buckets: int, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(_c(c), F.lit(seed)), F.lit(num_buckets))
 
 
-def param_hash(*cols: ColumnOrName, length: int = 8) -> Column:
-    """First ``length`` hex chars of md5 over the sorted ``k=v`` pairs."""
-    return F.substring(F.md5(F.concat_ws(",", *[_c(c).cast("string") for c in cols])), 1, length)
+def param_hash(params: dict, length: int = 8) -> str:
+    """Identifier of a parameter set: the first ``length`` hex digits of the md5
+    of the sorted characters of its JSON text (keys sorted, values as strings,
+    four blanks of indent)."""
+    text = json.dumps({k: str(params[k]) for k in sorted(params)}, indent=4)
+    return hashlib.md5("".join(sorted(text)).encode()).hexdigest()[:length]
 
 
 def ratio_features(df: DataFrame, read_time: str = "total_read_time",

@@ -23,14 +23,13 @@ from rankfold.operators.index import dense_ids, global_index
 PAD_ID = 0
 
 
-def token_counts(df: DataFrame, col: str, explode: bool = False, splitter: str | None = None,
-                 lower: bool = False) -> DataFrame:
+def token_counts(df: DataFrame, col: str, explode: bool = False, splitter: str | None = None) -> DataFrame:
     """``(token, count)`` of non-null values, optionally of list elements or
     of split text (A9/A10: partial counts are merged by Spark's two-phase
     aggregation)."""
     c = F.col(col)
-    if splitter is not None or (explode is False and dict(df.dtypes)[col] == "string" and lower):
-        c = split_tokens(c, splitter, lower)
+    if splitter is not None:
+        c = split_tokens(c, splitter)
         explode = True
     tok = df.select(F.explode(c).alias("token")) if explode else df.select(c.alias("token"))
     return tok.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
@@ -43,11 +42,13 @@ def max_list_len(df: DataFrame, col: str, splitter: str | None = None) -> int:
 
 
 def frequency_vocab(counts: DataFrame, min_count: int = 1, max_features: int | None = None,
-                    na_value=None, start: int = 1) -> DataFrame:
+                    na_value=None, start: int = 1, lower: bool = False) -> DataFrame:
     """Ids by descending count then token, from ``start``.
 
     As in the reference tokenizer, ``max_features`` keeps the most frequent
     entries *before* the minimum-count cut and the removal of ``na_value``.
+    ``lower`` lower-cases the tokens after counting and ranking: spellings of
+    one word keep their own places, and the last of them gives the id.
     """
     ranked = counts
     if max_features:
@@ -56,7 +57,12 @@ def frequency_vocab(counts: DataFrame, min_count: int = 1, max_features: int | N
     ranked = ranked.where(F.col("count") >= min_count)
     if na_value is not None:
         ranked = ranked.where(F.col("token") != F.lit(na_value))
-    return global_index(ranked, [F.desc("count"), F.asc("token")], "id", start)
+    indexed = global_index(ranked, [F.desc("count"), F.asc("token")], "id", start)
+    if not lower:
+        return indexed
+    rest = [F.max_by(c, "id").alias(c) for c in indexed.columns if c not in ("token", "id")]
+    return (indexed.groupBy(F.lower("token").alias("token")).agg(*rest, F.max("id").alias("id"))
+            .select(*indexed.columns))
 
 
 def label_vocab(df: DataFrame, col: str) -> DataFrame:
@@ -95,7 +101,12 @@ def encode_list(df: DataFrame, row_key: list[str], col: str, vocab: DataFrame, m
     """
     out = out or col
     v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
-    ex = df.select(*row_key, F.posexplode(col).alias("_p", "_t"))
+    items = F.col(col)
+    if not drop_oov:  # encoding keeps every element, so what padding cuts off is cut first
+        cut = truncating or padding
+        items = F.slice(items, F.greatest(F.lit(1), F.size(items) - max_len + 1), max_len) if cut == "pre" \
+            else F.slice(items, 1, max_len)
+    ex = df.select(*row_key, F.posexplode(items).alias("_p", "_t"))
     j = ex.join(v, ex["_t"] == v["_tok"], "left")
     if na_value is not None:
         idv = F.when(F.col("_t") == F.lit(na_value), F.lit(PAD_ID)).otherwise(F.coalesce("_id", F.lit(oov)))
@@ -148,8 +159,9 @@ def expand_with_pretrained(vocab: DataFrame, oov_id: int, keys: DataFrame) -> Da
 
 
 def vocab_from_size(spark, size: int) -> DataFrame:
-    """Vocabulary known only by size: tokens 0..size-2 -> ids 1..size-1."""
-    return spark.range(1, size).select(F.col("id").alias("id"), (F.col("id") - 1).cast("string").alias("token"))
+    """Vocabulary known only by size: tokens 0..size-2 keep their number as id;
+    id size-1 is left for unknown tokens (E12)."""
+    return spark.range(0, max(0, size - 1)).select(F.col("id").alias("id"), F.col("id").cast("string").alias("token"))
 
 
 # ---------------------------------------------------------- scalers -----

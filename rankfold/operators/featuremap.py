@@ -121,10 +121,11 @@ def narrow(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def top_features(importance: DataFrame, k: int, existing: list[str] = (),
                  exclude_suffix: str = "_score") -> DataFrame:
-    """The ``k`` most important features that are neither already present nor
-    model scores (P19).  A top-k report: the limit is the feature."""
-    imp = importance.where(~F.col("feature").isin(list(existing)) & ~F.col("feature").endswith(exclude_suffix))
-    return imp.orderBy(F.desc("importance"), F.asc("feature")).limit(k)
+    """Of the ``k`` most important features, those that are neither already
+    present nor model scores (P19): the cut comes first, so fewer than ``k``
+    may be left.  A top-k report: the limit is the feature."""
+    top = importance.orderBy(F.desc("importance"), F.asc("feature")).limit(k)
+    return top.where(~F.col("feature").isin(list(existing)) & ~F.col("feature").endswith(exclude_suffix))
 
 
 # ------------------------------------------------ fit / transform (E19) --

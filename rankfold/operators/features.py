@@ -110,7 +110,7 @@ def group_median(df: DataFrame, keys: list[str], col: str, out: str) -> DataFram
 
 def _join_back(df: DataFrame, stats: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
     if not null_safe:
-        return df.join(stats, keys, "left")
+        return df.join(stats, keys, "left").select(*df.columns, *[c for c in stats.columns if c not in keys])
     renamed = stats.select(*[F.col(k).alias(f"_gk_{k}") for k in keys],
                            *[c for c in stats.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"_gk_{k}"]) for k in keys])
@@ -123,51 +123,48 @@ def _anchor(keys: tuple[str, ...], all_sets: list[tuple[str, ...]]) -> str:
 
 
 def attach_stats(df: DataFrame, key_sets: list[tuple[list[str], list[tuple[str, str | None, str]]]],
-                 order: list[str] | None = None, form: str = "auto",
+                 order: list[str] | None = None, form: str = "join",
                  null_safe: bool = True, median_strategy: str = "auto",
                  max_group_rows: int = 5_000_000) -> DataFrame:
     """Add the statistics of every key set to each row of ``df``.
 
     ``key_sets`` = ``[(keys, spec), ...]``; specs with equal keys are fused.
-    ``auto`` groups the key sets by their pivot (the key most of them share,
-    e.g. ``user_id`` for ``(user_id)``, ``(dayofyear, user_id)``, ...),
-    measures the pivot's largest group with one partial aggregate, and uses
-    the window form — one repartition by the pivot serves every key set of
-    that pivot — when it is below ``max_group_rows``; a hot pivot gets the
-    aggregate + join-back form.
+    ``join`` (default) aggregates each key set map-side and joins back, so a
+    hot key is combined before the shuffle and its rows are split by the skew
+    join; with several key sets the input is checkpointed, so its sources are
+    read once.  ``window`` groups the key sets by their pivot (the key most of
+    them share) and runs all of a pivot's key sets over one repartition by it:
+    fewer shuffles where no pivot value holds a large share of the rows.  Both
+    give the same result; with ``null_safe=False`` rows with a null key get
+    null statistics.
     """
-    from rankfold.operators.ordered import largest_group
     fused: dict[tuple[str, ...], list] = {}
     for keys, spec in key_sets:
         fused.setdefault(tuple(keys), []).extend(spec)
     o = F.struct(*[F.col(c) for c in order]) if order else None
     if form == "window":
-        cols = {}
-        for keys, spec in fused.items():
-            w = Window.partitionBy(*keys)
-            for kind, col, name in spec:
-                cols[name] = _agg_expr(kind, col, o, w)
-        return df.withColumns(cols)
-    if form == "auto":
         by_pivot: dict[str, list[tuple[str, ...]]] = {}
         for keys in fused:
             by_pivot.setdefault(_anchor(keys, list(fused)), []).append(keys)
         out = df
         for pivot, sets in by_pivot.items():
-            if largest_group(df, [pivot]) <= max_group_rows:
-                out = out.repartition(pivot)
-                cols = {}
-                for keys in sets:
-                    w = Window.partitionBy(*keys)
-                    for kind, col, name in fused[keys]:
-                        cols[name] = _agg_expr(kind, col, o, w)
-                out = out.withColumns(cols)
-            else:
-                for keys in sets:
-                    stats = group_stats(df, list(keys), fused[keys], order, median_strategy, max_group_rows)
-                    out = _join_back(out, stats, list(keys), null_safe)
+            out = out.repartition(pivot)
+            cols = {}
+            for keys in sets:
+                w = Window.partitionBy(*keys)
+                known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+                for kind, col, name in fused[keys]:
+                    value = _agg_expr(kind, col, o, w)
+                    cols[name] = value if null_safe else F.when(known, value)
+            out = out.withColumns(cols)
         return out
+    if form != "join":
+        raise ValueError(f"unknown form {form!r}")
     out = df
+    if len(fused) > 1:
+        from rankfold.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        out = df = df.checkpoint(eager=True)
     for keys, spec in fused.items():
         stats = group_stats(df, list(keys), spec, order, median_strategy, max_group_rows)
         out = _join_back(out, stats, list(keys), null_safe)
@@ -208,7 +205,7 @@ COUNT_KEY_SETS = [
 ]
 
 
-def count_features(df: DataFrame, names: list[str] | None = None, form: str = "auto") -> DataFrame:
+def count_features(df: DataFrame, names: list[str] | None = None, form: str = "join") -> DataFrame:
     """Row counts over entity/clock key sets."""
     sets = [(keys, [("count", None, name)]) for name, keys in COUNT_KEY_SETS
             if names is None or name in names]

@@ -38,9 +38,9 @@ def lookup_with_default(df: DataFrame, table: DataFrame, key: str, value: str, o
     return j
 
 
-def concat_by_key(frames: list[DataFrame], key: list[str], how: str = "inner") -> DataFrame:
+def concat_by_key(frames: list[DataFrame], key: list[str], how: str = "full") -> DataFrame:
     """Horizontal concat of feature/score frames, aligned by the full row key
-    rather than by row position (J8)."""
+    rather than by row position (J8); a frame without the key gives nulls."""
     return reduce(lambda a, b: a.join(b, key, how), frames)
 
 

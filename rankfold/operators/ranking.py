@@ -67,7 +67,7 @@ def blend_scores(tables: list[DataFrame], weights: list[float] | None = None,
                  key: list[str] = ("impression_id", "user_id", "article_id", "pos"),
                  score: str = "score", norm: bool = False, group: list[str] = GROUP) -> DataFrame:
     """Weighted sum of several score tables aligned by key, never by row
-    order (R2/J9).  With ``norm``, a table whose file-wide range leaves [0,1]
+    order (R2/J9); a key that some table lacks has no score.  With ``norm``, a table whose file-wide range leaves [0,1]
     is min-max normalised per group first (R3)."""
     key = list(key)
     if not tables:
@@ -82,9 +82,10 @@ def blend_scores(tables: list[DataFrame], weights: list[float] | None = None,
                 t = minmax_in_group(t, group, score)
         parts.append(t.select(*key, (F.lit(float(w)) * F.col(score)).alias(score)))
     allp = reduce(lambda a, b: a.unionByName(b), parts)
-    # a null part makes the blend null (as an aligned column sum would); a key
-    # missing from some table is visible through n_parts
-    blended = F.when(F.count(score) == F.count(F.lit(1)), F.sum(score))
+    # a null part or a missing one makes the blend null (as an aligned column
+    # sum would), never a partial sum
+    whole = (F.count(score) == F.count(F.lit(1))) & (F.count(F.lit(1)) >= len(tables))
+    blended = F.when(whole, F.sum(score))
     return allp.groupBy(*key).agg(blended.alias(score), F.count(F.lit(1)).alias("n_parts"))
 
 

@@ -111,22 +111,12 @@ def pairwise_elementwise(fields: ColumnOrName, n_fields: int) -> Column:
 
 # ------------------------------------------------------------- top-k ----
 
-def topk_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
-                   max_group_rows: int = 1_000_000, rank_col: str = "rank") -> DataFrame:
-    """Top ``k`` rows per group in ``order`` without sorting a hot group in
-    one task: a group larger than ``max_group_rows`` is split into salted
-    sub-groups (by row hash), each keeps its own top k, then the <= salts*k
-    survivors are ranked again.  Exact, since every global top-k row is in
-    its sub-group's top k."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn"))
-    salts = F.greatest(F.lit(1), F.ceil(F.col("_gn") / F.lit(max_group_rows))).cast("long")
-    tagged = df.join(sizes, group, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), salts))
-    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
-    stage1 = tagged.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
-    w2 = Window.partitionBy(*group).orderBy(*order)
-    return (stage1.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
-            .drop("_gn", "_salt", "_r1"))
+def topk_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, rank_col: str = "rank") -> DataFrame:
+    """Top ``k`` rows per group in ``order``.  Spark limits each group to ``k``
+    rows per task before the shuffle, so a hot group reaches the ranking task
+    as at most ``k`` rows from each input task."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
 # -------------------------------------------------------------- LSH -----

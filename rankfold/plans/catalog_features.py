@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankfold.functions.scalar import duration_hours, with_time_features
+from rankfold.functions.scalar import duration_seconds, with_time_features
 from rankfold.operators import features as FT
 from rankfold.operators import ordered as O
 from rankfold.plans.oracle import ART, CAND, EV, dur_s, epoch_s, with_
@@ -24,8 +24,7 @@ def ev_base(spark, sf):
         "article_id", "article_type", "sentiment_score", "total_inviews", "published_time",
         F.col("category").alias("art_category"))
     j = ev.join(art, "article_id", "left")
-    # hours keep float statistics inside double precision at 6 decimals
-    j = j.withColumn("click_gap", duration_hours("impression_time", "published_time"))
+    j = j.withColumn("click_gap", duration_seconds("impression_time", "published_time"))
     return with_time_features(j, "impression_time")
 
 
@@ -33,7 +32,7 @@ EVB = EV + ",\n" + ART + f""",
 evb AS (
   SELECT ev.*, art.article_type, art.sentiment_score, art.total_inviews, art.published_time,
          art.category AS art_category,
-         CAST(trunc((epoch_us(ev.impression_time) - epoch_us(art.published_time)) / 3600000000.0) AS BIGINT)
+         CAST(trunc((epoch_us(ev.impression_time) - epoch_us(art.published_time)) / 1000000.0) AS BIGINT)
            AS click_gap,
          CAST(dayofyear(ev.impression_time) AS INTEGER) AS dayofyear,
          CAST(isodow(ev.impression_time) * 24 + hour(ev.impression_time) AS INTEGER) AS day_hour,
@@ -43,11 +42,18 @@ evb AS (
   FROM ev LEFT JOIN art ON ev.article_id = art.article_id)"""
 
 
+def _places(kind, col):
+    """Decimals to compare: gaps in seconds reach 1e8, where the last digits of
+    a mean or deviation depend on the order of summation."""
+    return 2 if col == "click_gap" and kind in ("mean", "std") else 6
+
+
 def _finish(df, row_cols, spec):
     """Round float statistics, widen integer ones, keep row identity."""
     cols = [F.col(c) for c in row_cols]
-    for kind, _, name in spec:
-        cols.append(F.col(name).cast("long").alias(name) if kind in INT_KINDS else r6(name).alias(name))
+    for kind, col, name in spec:
+        cols.append(F.col(name).cast("long").alias(name) if kind in INT_KINDS
+                    else F.round(F.col(name).cast("double"), _places(kind, col)).alias(name))
     return df.select(*cols)
 
 
@@ -94,9 +100,9 @@ def stats_sql(ctes: str, base: str, row_cols, key_sets, order=None):
         parts.append(f"g{i} AS (SELECT {kl}, {aggs} FROM {src} GROUP BY {kl})")
         cond = " AND ".join(f"b.{k} IS NOT DISTINCT FROM g{i}.{k}" for k in keys)
         joins.append(f"LEFT JOIN g{i} ON {cond}")
-        for k, _, n in spec:
+        for k, c, n in spec:
             outs.append(f"CAST(g{i}.\"{n}\" AS BIGINT) AS \"{n}\"" if k in INT_KINDS
-                        else f"ROUND(CAST(g{i}.\"{n}\" AS DOUBLE), 6) AS \"{n}\"")
+                        else f"ROUND(CAST(g{i}.\"{n}\" AS DOUBLE), {_places(k, c)}) AS \"{n}\"")
     return ("WITH " + ",\n".join(parts) + f"\nSELECT {', '.join(outs)} FROM {base} b\n" + "\n".join(joins))
 
 
@@ -153,7 +159,7 @@ def _hist_sql_aggs(spec):
     out = []
     for k, c, n in spec:
         e = _sql_agg(k, c, None)
-        out.append(f"CAST({e} AS BIGINT) AS {n}" if k in INT_KINDS else f"ROUND(CAST({e} AS DOUBLE), 6) AS {n}")
+        out.append(f"CAST({e} AS BIGINT) AS {n}" if k in INT_KINDS else f"ROUND(CAST({e} AS DOUBLE), {_places(k, c)}) AS {n}")
     return ", ".join(out)
 
 
@@ -184,7 +190,7 @@ def hist_long(spark, sf):
     art = st.articles(spark, sf).select("article_id", "article_type", "category", "sentiment_score",
                                         "sentiment_label", "published_time")
     j = long.join(art, "article_id", "left")
-    return j.withColumns({"click_gap": duration_hours("impression_time", "published_time"),
+    return j.withColumns({"click_gap": duration_seconds("impression_time", "published_time"),
                           "sentiment_label": sentiment_to_int("sentiment_label")})
 
 
@@ -213,7 +219,7 @@ def _hist_join_sql():
   SELECT ev.user_id, ev.article_id, art.article_type, art.category, art.sentiment_score,
          CASE WHEN art.sentiment_label IS NULL THEN NULL WHEN art.sentiment_label = 'Positive' THEN 1 ELSE 0 END
            AS sentiment_label,
-         CAST(trunc((epoch_us(ev.impression_time) - epoch_us(art.published_time)) / 3600000000.0) AS BIGINT)
+         CAST(trunc((epoch_us(ev.impression_time) - epoch_us(art.published_time)) / 1000000.0) AS BIGINT)
            AS click_gap
   FROM ev LEFT JOIN art ON ev.article_id = art.article_id)"""
     cj = """cj AS (SELECT c.impression_id, c.pos, c.user_id, c.article_id, a.article_type, a.category
@@ -225,9 +231,9 @@ def _hist_join_sql():
         aggs = ", ".join(f"{_sql_agg(k, c, None)} AS {n}" for k, c, n in spec)
         parts.append(f"h{i} AS (SELECT {kl}, {aggs} FROM hl GROUP BY {kl})")
         joins.append(f"LEFT JOIN h{i} ON " + " AND ".join(f"b.{k} = h{i}.{k}" for k in keys))
-        for k, _, n in spec:
+        for k, c, n in spec:
             outs.append(f"CAST(h{i}.{n} AS BIGINT) AS {n}" if k in INT_KINDS
-                        else f"ROUND(CAST(h{i}.{n} AS DOUBLE), 6) AS {n}")
+                        else f"ROUND(CAST(h{i}.{n} AS DOUBLE), {_places(k, c)}) AS {n}")
     return "WITH " + ",\n".join(parts) + f"\nSELECT {', '.join(outs)} FROM cj b\n" + "\n".join(joins)
 
 

@@ -30,14 +30,15 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 def read_score_files(spark: SparkSession, paths: dict[str, str], key: list[str],
                      score: str = "score", schema: str | T.StructType | None = None) -> DataFrame:
-    """Several score CSVs side by side, aligned by key (S4).  Give the
+    """Several score CSVs side by side, aligned by key (S4): every key of any
+    file, null where a file lacks it.  Give the
     ``schema`` to avoid a type-inference pass over every file."""
     def reader():
         r = spark.read.option("header", True)
         return r.schema(schema) if schema is not None else r.option("inferSchema", True)
     frames = [reader().csv(p).select(*key, F.col(score).cast("double").alias(name))
               for name, p in paths.items()]
-    return reduce(lambda a, b: a.join(b, key, "inner"), frames)
+    return reduce(lambda a, b: a.join(b, key, "full"), frames)
 
 
 def read_embeddings(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:

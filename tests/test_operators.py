@@ -201,7 +201,7 @@ def test_topk_per_group_salted_equals_plain(spark):
     rows = [(0 if i < 500 else i % 4, i, float((i * 37) % 101)) for i in range(800)]
     df = spark.createDataFrame(rows, "g long, item long, s double")
     order = [F.col("s").desc(), F.col("item").asc()]
-    salted = V.topk_per_group(df, ["g"], order, 5, max_group_rows=50)
+    salted = V.topk_per_group(df, ["g"], order, 5)
     w = Window.partitionBy("g").orderBy(*order)
     plain = df.withColumn("rank", F.row_number().over(w)).where("rank <= 5")
     assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
@@ -234,7 +234,7 @@ def test_feature_specs_layout_and_vocab_by_size(spark):
     lay = FM.layout(specs)
     assert lay["offsets"] == {"a": 0, "b": 1, "seq": 2} and lay["total_features"] == 7
     v = E.vocab_from_size(spark, 4).orderBy("id").collect()
-    assert [(r.token, r.id) for r in v] == [("0", 1), ("1", 2), ("2", 3)]
+    assert [(r.token, r.id) for r in v] == [("0", 0), ("1", 1), ("2", 2)]
     fmap = FM.feature_map(spark, [{"name": "a", "type": "categorical", "vocab": spark.createDataFrame(
         [("x", 1), ("y", 2)], "token string, id long")}, {"name": "b", "type": "numeric"}])
     only_a = FM.restrict_and_override(fmap, spark.createDataFrame([("a",)], "feature string"),
