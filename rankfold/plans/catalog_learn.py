@@ -1,5 +1,5 @@
 """Model training / scoring queries (phase 8).  Rows-only checks: a trained
-model has no SQL twin; tests assert sanity on planted signal."""
+model has no SQL twin."""
 
 from __future__ import annotations
 
