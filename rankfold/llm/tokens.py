@@ -4,21 +4,25 @@
 add_special_tokens=False).ids``.  For a tokenizer that drops white space and
 never merges across it (the word-end BPE kind) each white-space-delimited word
 is encoded once per worker and remembered; other kinds are encoded text by
-text.  The memory is emptied when it holds ``MAX_WORDS`` words.
+text.  The memory has two generations of about ``MAX_WORDS`` words: when the
+young one is full it becomes the old one, and words that are met again move
+back, so rare words leave and common ones stay.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_WORDS = 300_000
+MAX_WORDS = 250_000
 # Words that are one letters-only pre-token and that normalization only lower-cases:
 # letters below U+0250 but for U+0130, whose lower case is not a letter sequence.
 _EASY = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
@@ -37,11 +41,13 @@ class Encoder:
     """One tokenizer in one Python worker."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
         from tokenizers import Tokenizer
         self.exact = Tokenizer.from_file(path)
         self.vocab_size = self.exact.get_vocab_size()
         spec = json.loads(self.exact.to_str())
         self.words: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.plain = None
         norm, pre, model = (spec.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
         steps = [n.get("type") for n in norm.get("normalizers", [])]
@@ -63,11 +69,9 @@ class Encoder:
         """Encode unseen words: letters-only ones, with or without a final mark,
         many at a time without normalization; all others one by one."""
         words = self.words
-        plain = [w for w in missing if w.isalpha()]  # bytes: ASCII letters only
+        plain = list(filter(bytes.isalpha, missing))  # bytes: ASCII letters only
         wide, hard, marked = [], [], []
-        for w in missing:
-            if w.isalpha():
-                continue
+        for w in filterfalse(bytes.isalpha, missing):
             body, mark = (w[:-1], w[-1:]) if w[-1:] in self.tails else (w, b"")
             if body.isalpha():
                 plain.append(body)
@@ -85,7 +89,7 @@ class Encoder:
                 text = b" ".join(part).decode()
                 if not text.isascii():
                     text = text.lower().encode().decode("latin-1").translate(self.chars)
-                ids = np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
+                ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
                 cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
                 if len(cuts) != len(part):
                     raise ValueError("a word was not one pre-token")
@@ -106,27 +110,24 @@ class Encoder:
         at = 0
         while at < len(texts):  # groups of texts of about a megabyte
             if len(self.words) > MAX_WORDS:
-                self.words = {}
-            get, group, missing, size = self.words.get, [], [], 0
+                self.old, self.words = self.words, {}
+            words, group, met, size = self.words, [], set(), 0
             while at < len(texts) and size < 1_000_000:
                 raw = (texts[at] or b"").lower()  # A-Z only
                 if any(t in raw for t in self.added):
                     out[at] = self._direct(texts[at].decode())
                 else:
                     ws = raw.split()  # ASCII white space only
-                    ids = list(map(get, ws))
-                    holes = [i for i, x in enumerate(ids) if x is None]
-                    lost = [ws[i] for i in holes]
-                    missing += lost
-                    group.append((at, ids, holes, lost))
+                    met.update(ws)
+                    group.append((at, ws))
                 size += len(raw)
                 at += 1
-            if missing:
-                self._learn(list(dict.fromkeys(missing)))
-            for i, ids, holes, lost in group:
-                for k, w in zip(holes, lost):
-                    ids[k] = self.words[w]
-                out[i] = b"".join(ids)
+            unseen = met.difference(words)
+            again = {w: self.old[w] for w in unseen if w in self.old}
+            words.update(again)
+            self._learn([w for w in unseen if w not in again])
+            for i, ws in group:
+                out[i] = b"".join(map(words.__getitem__, ws))
         return out
 
 
