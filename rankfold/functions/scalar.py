@@ -186,9 +186,16 @@ def sentiment_to_int(label: ColumnOrName) -> Column:
     return F.when(c.isNull(), F.lit(None)).when(c == F.lit(POSITIVE_SENTIMENT), F.lit(1)).otherwise(F.lit(0))
 
 
+def stable_hash(cols: list[ColumnOrName], seed: int = 42) -> Column:
+    """60-bit hash that any engine reproduces: the first 15 hex digits of the md5
+    of the values and the seed, joined by ``|`` (a null counts as empty)."""
+    text = F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def hash_bucket(c: ColumnOrName, num_buckets: int, seed: int = 42) -> Column:
-    """Stable bucket id in [0, num_buckets) from xxhash64."""
-    return F.pmod(F.xxhash64(_c(c), F.lit(seed)), F.lit(num_buckets))
+    """Stable bucket id in [0, num_buckets); a null counts as the empty string."""
+    return F.pmod(stable_hash([c], seed), F.lit(num_buckets))
 
 
 def param_hash(params: dict, length: int = 8) -> str:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankfold.functions.scalar import stable_hash
 from rankfold.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
@@ -84,14 +85,18 @@ def split_sequential(df: DataFrame, order: list[str], valid_size: float | int =
 def split_random(df: DataFrame, key: list[str], valid_size: float = 0.1, test_size: float = 0.1,
                  seed: int = 2023, num_partitions: int | None = None) -> DataFrame:
     """Random split with exact sizes: order by a seeded hash of the key."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    tmp = df.withColumn("_h", h)
+    tmp = df.withColumn("_h", stable_hash(key, seed))
     return split_sequential(tmp, ["_h", *key], valid_size, test_size, num_partitions).drop("_h")
 
 
 def shuffle_rows(df: DataFrame, key: list[str], seed: int = 2023) -> DataFrame:
     """Reproducible random row order (O9): sort by a seeded hash of the key."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), *key)
+    return df.orderBy(stable_hash(key, seed), *key)
+
+
+def shuffled_places(df: DataFrame, key: list[str], out: str, seed: int = 2023) -> DataFrame:
+    """``df`` with each row's 0-based place in the order of ``shuffle_rows``."""
+    return global_index(df.withColumn("_h", stable_hash(key, seed)), ["_h", *key], out).drop("_h")
 
 
 def segmented_prefix_sum(df: DataFrame, keys: list[str], order: list[str | Column],

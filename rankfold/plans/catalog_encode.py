@@ -223,9 +223,10 @@ def q_quantile_bucket(spark, sf):
     return li.select("l_extendedprice", E.bucketize("l_extendedprice", bounds).alias("price_bucket"))
 
 
-@query("hash_bucket")
+@query("hash_bucket", """
+SELECT c_custkey, CAST('0x' || substr(md5(coalesce(c_mktsegment, '') || '|42'), 1, 15) AS BIGINT) % 16 AS segment_bucket
+FROM customer""")
 def q_hash_bucket(spark, sf):
-    """Rows-only: Spark's xxhash64 has no DuckDB twin."""
     c = st.table(spark, sf, "customer")
     return c.select("c_custkey", hash_bucket("c_mktsegment", 16).alias("segment_bucket"))
 
@@ -249,17 +250,25 @@ def q_split_sequential(spark, sf):
     return I.split_sequential(ev, ["impression_time", "event_id"], 0.1, 0.1).select("event_id", "split")
 
 
-@query("split_random")
+_HASHED = with_(EV) + """
+, r AS (SELECT event_id, user_id, count(*) OVER () AS n, row_number() OVER (ORDER BY
+          CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || '|2023'), 1, 15) AS BIGINT), event_id) - 1 AS i FROM ev)"""
+
+
+@query("split_random", _HASHED + """
+SELECT event_id, CASE WHEN i >= n - CAST(floor(0.1 * n) AS BIGINT) THEN 'test'
+                      WHEN i >= n - 2 * CAST(floor(0.1 * n) AS BIGINT) THEN 'valid' ELSE 'train' END AS split FROM r""")
 def q_split_random(spark, sf):
-    """Rows-only: exact sizes, order from a seeded Spark hash."""
+    """Exact sizes, order by a seeded hash."""
     ev = st.events_view(spark, sf).select("event_id")
     return I.split_random(ev, ["event_id"], 0.1, 0.1)
 
 
-@query("shuffle_rows")
+@query("shuffle_rows", _HASHED + "SELECT event_id, user_id, i AS place FROM r")
 def q_shuffle_rows(spark, sf):
-    """Rows-only: reproducible random order by a seeded hash."""
-    return I.shuffle_rows(st.events_view(spark, sf).select("event_id", "user_id"), ["event_id"])
+    """Reproducible random order by a seeded hash (O9), with each row's place."""
+    rows = I.shuffled_places(st.events_view(spark, sf).select("event_id", "user_id"), ["event_id"], "place")
+    return rows.select("event_id", "user_id", "place")
 
 
 # --------------------------------------------------------------- lists --

@@ -96,6 +96,31 @@ def q_ndcg(spark, sf):
     return M.ndcg(scored(spark, sf), ["impression_id"], 5).select(r6("ndcg_5").alias("ndcg_5"))
 
 
+@query("metric_dispatch", _RANKED + """
+, tc AS (SELECT *, rank() OVER (ORDER BY s) AS grk, count(*) OVER (PARTITION BY s) AS gtc,
+                rank() OVER (PARTITION BY impression_id ORDER BY s) AS irank,
+                count(*) OVER (PARTITION BY impression_id, s) AS itc FROM r),
+a AS (SELECT impression_id, count(*) AS n, sum(y) AS np, sum(1 - y) AS nn,
+        sum(CASE WHEN y = 1 THEN irank + (itc - 1) / 2.0 ELSE 0 END) AS sr, sum(y / rk) / (sum(y) + 1e-12) AS m,
+        sum(CASE WHEN rk <= 5 THEN (pow(2, y) - 1) / log2(rk + 1) ELSE 0 END) AS dcg5,
+        sum(CASE WHEN irk <= 5 THEN (pow(2, y) - 1) / log2(irk + 1) ELSE 0 END) AS idcg5,
+        sum(CASE WHEN rk <= 1 THEN pow(2, y) - 1 ELSE 0 END) / (max(pow(2, y) - 1) + 1e-12) AS n1
+      FROM tc GROUP BY impression_id),
+g AS (SELECT *, CASE WHEN np > 0 AND nn > 0 THEN (sr - np * (np + 1) / 2.0) / (np * nn) END AS auc FROM a),
+t1 AS (SELECT avg(-(y * ln(least(greatest(s, 1e-7), 1 - 1e-7)) + (1 - y) * ln(1 - least(greatest(s, 1e-7), 1 - 1e-7)))) AS ll,
+         (sum(CASE WHEN y = 1 THEN grk + (gtc - 1) / 2.0 ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)) AS auc
+       FROM tc)
+SELECT (SELECT ROUND(ll, 6) FROM t1) AS logloss, (SELECT ROUND(auc, 6) FROM t1) AS auc, ROUND(avg(auc), 6) AS avg_auc,
+       ROUND(sum(auc * n) FILTER (WHERE auc IS NOT NULL) / sum(n) FILTER (WHERE auc IS NOT NULL), 6) AS gauc,
+       ROUND(avg(m), 6) AS mrr, ROUND(avg(dcg5 / (idcg5 + 1e-12)), 6) AS ndcg_5, ROUND(avg(n1), 6) AS ndcg_1 FROM g""")
+def q_metric_dispatch(spark, sf):
+    """Every metric of the dispatcher from one pass over its input."""
+    row = M.evaluate(scored(spark, sf), ["logloss", "AUC", "avgAUC", "gAUC", "MRR", "NDCG@5", "NDCG"], ["impression_id"])
+    return row.select("logloss", F.col("AUC").alias("auc"), F.col("avgAUC").alias("avg_auc"), F.col("gAUC").alias("gauc"),
+                      F.col("MRR").alias("mrr"), F.col("NDCG@5").alias("ndcg_5"), F.col("NDCG").alias("ndcg_1")).select(
+        *[r6(c).alias(c) for c in ("logloss", "auc", "avg_auc", "gauc", "mrr", "ndcg_5", "ndcg_1")])
+
+
 @query("multi_task_metrics", """
 WITH t AS (SELECT l.quality, l.toxic, (d.n_chars % 1000) / 1000.0 AS s1, (d.n_chars % 997) / 997.0 AS s2
            FROM labels l JOIN documents d ON l.doc_id = d.doc_id),

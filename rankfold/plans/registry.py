@@ -40,5 +40,5 @@ def r6(c: Column | str) -> Column:
 def load_all() -> None:
     # importing the catalog modules fills the registry
     from rankfold.plans import (catalog_core, catalog_encode, catalog_features,  # noqa: F401
-                                catalog_learn, catalog_metrics, catalog_streaming,
+                                catalog_files, catalog_learn, catalog_metrics, catalog_streaming,
                                 catalog_vectors)

@@ -81,9 +81,14 @@ def dataset_manifest(splits: dict[str, DataFrame], vocab_sizes: DataFrame | None
     return out
 
 
-def write_manifest(manifest: dict, path: str) -> None:
-    with open(path, "w") as fh:
-        json.dump(manifest, fh, indent=2, sort_keys=True)
+def write_manifest(spark: SparkSession, manifest: dict, path: str) -> None:
+    """Manifest as one line of JSON, by Spark's writer: any file system."""
+    line = spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string")
+    line.coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()["value"])
 
 
 def write_vocab_json(vocab: DataFrame, path: str, token: str = "token", id_col: str = "id") -> None:
