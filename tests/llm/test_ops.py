@@ -446,6 +446,35 @@ def test_decontamination_catches_paraphrases_and_keeps_clean(spark):
     assert decontam.contaminated(df, bench.where("false"), space).count() == 0
 
 
+def even_space(rank=512):
+    """A space in which every word weighs the same and cosines are those of the words, nearly."""
+    table = np.random.default_rng(5).standard_normal((decontam.FEATURES, rank)) / rank ** 0.5
+    return decontam.Space(table.astype(np.float32), np.ones(decontam.FEATURES, np.float32))
+
+
+def test_decontamination_finds_items_spread_among_other_words():
+    rnd, space = random.Random(21), even_space()
+    items = decontam._items([(k, " ".join(f"item{k}x{i}" for i in range(24)), None) for k in range(20)], space)
+    for k in range(20):
+        w = [f"other{rnd.randint(0, 5000)}" for _ in range(100)]
+        w[37:37] = [x for i in range(24) for x in (f"item{k}x{i}", *(f"other{rnd.randint(0, 5000)}" for _ in range(1 + i % 2)))]
+        assert [m[0] for m in decontam.matches(" ".join(w), items, space)] == [k]
+
+
+def test_decontamination_bound_never_undercounts():
+    rnd, vocab = random.Random(22), [b"w%d" % i for i in range(60)]
+    rows = [(k, b" ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 90))).decode(), None) for k in range(30)]
+    items = decontam._items(rows, even_space(2))
+    words = [rnd.choice(vocab) for _ in range(400)]
+    f = decontam._features(words)
+    pairs = [(a, min(400, a + rnd.randint(1, 200)), i) for a in range(0, 390, 13) for i in range(30)]
+    start, end, item = (np.array(x) for x in zip(*pairs))
+    whole, answer = decontam._bounds(f, decontam._previous(f), start, end, item, items)
+    for a, b, i, n, m in zip(start, end, item, whole, answer):
+        assert n >= decontam.common_subsequence(words[a:b], items.masks[i], len(items.words[i]))
+        assert m >= decontam.common_subsequence(words[a:b], *items.answers[i])
+
+
 def test_common_subsequence():
     rnd = random.Random(3)
     for _ in range(300):
