@@ -7,8 +7,8 @@ the next one's ``docs``.  All but the last return the columns of documents.
 1. language id: rows that the classifier rejects go.
 2. line dedup: lines (with near copies) that occur ``LINE_COUNT`` times or more
    keep their first occurrence only; a document whose lines are all gone goes.
-   Boilerplate repeats that often; the lines of a small group of near copies
-   stay whole for the next stage, which judges documents.
+   As in op5, every repeat counts: a passage of two documents that differ
+   otherwise is not found by the next stage, which judges documents.
 3. SimHash near-dedup: one document of each group stays.
 4. benchmark decontamination: documents that hold a benchmark item go.
 5. best-fit packing: token pieces with their sequence and offset.
@@ -23,7 +23,7 @@ from rankfold.llm import decontam, langid, linededup, packing, simhash
 from rankfold.llm.queries import tokenizer_path
 from rankfold.llm.store import ship, stored
 
-LINE_COUNT = 10
+LINE_COUNT = 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

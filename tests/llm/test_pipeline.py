@@ -81,3 +81,13 @@ def test_stages_take_odd_rows(spark):
     for _, stage in pipeline.STAGES:
         stage(spark, docs, SF).collect()
         assert stage(spark, docs.where("false"), SF).count() == 0
+
+
+def test_line_stage_drops_passages_of_two_documents(spark):
+    ship(spark)
+    passage = " ".join(f"passage{i}" for i in range(60))
+    texts = [f"first document\nits own words {'a ' * 40}\n{passage}", f"{passage}\nanother one with {'other ' * 40}", "a third without it"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in pipeline.line_dedup(spark, docs, SF).collect()}
+    assert got == {0: texts[0], 1: texts[1].split("\n")[1], 2: texts[2]}
