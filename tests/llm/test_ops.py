@@ -461,6 +461,16 @@ def test_decontamination_finds_items_spread_among_other_words():
         assert [m[0] for m in decontam.matches(" ".join(w), items, space)] == [k]
 
 
+def test_decontamination_finds_items_of_any_length():
+    rnd, space = random.Random(23), even_space()
+    for n in (1, 2, 3, 5, 8, 12, 31, 33, 100, 500, 900):
+        for at in (0, 7, 40, 211):
+            w = [f"word{i}" for i in range(1300)]
+            rnd.shuffle(w)
+            items = decontam._items([(0, " ".join(w[at:at + n]), None), (1, " ".join(f"other{i}" for i in range(n)), None)], space)
+            assert [m[:3] for m in decontam.matches(" ".join(w), items, space)] == [(0, 1.0, 1.0)], (n, at)
+
+
 def test_decontamination_bound_never_undercounts():
     rnd, vocab = random.Random(22), [b"w%d" % i for i in range(60)]
     rows = [(k, b" ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 90))).decode(), None) for k in range(30)]
