@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import chat, decontam, huffman, langid, linededup, packing, simhash, topk, urlfilter, warc
+from rankfold.llm import chat, decontam, huffman, langid, lexical, linededup, packing, simhash, topk, urlfilter, warc
 from rankfold.llm.store import ship
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,10 @@ def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, RULES, hosts.where(F.col("key").rlike("|".join(BLOCKED_NAMES))))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
@@ -95,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_topk, op2_warc, op3_packing, op4_simhash, op5_linededup, op6_decontam, op7_huffman, op8_chat, op9_langid,
-    op10_urlfilter, pipeline)}
+    op10_urlfilter, op11_lexical, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op1_topk": """
@@ -148,4 +152,26 @@ SELECT page_id, host, path, rhost || rpath AS rule,
        CASE WHEN verdict IS NOT NULL THEN verdict WHEN regexp_matches(host, 'spam|casino|porn|warez') THEN 'block'
             ELSE 'allow' END AS verdict
 FROM m WHERE n = 1""",
+    "op11_lexical": r"""
+WITH w AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+c AS (SELECT count(*) AS big_n, CAST(sum(len(t)) AS BIGINT) AS big_l FROM w WHERE len(t) > 0),
+p AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM w) GROUP BY d, term),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+i AS (
+  SELECT item, item_id, unnest(list_distinct(t)) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark)),
+s AS (
+  SELECT i.item, i.item_id, w.d, w.doc_id, CAST(sum(
+           CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+           * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(w.t) * big_n) // big_l)))) AS BIGINT) AS score
+  FROM i JOIN p ON p.term = i.term JOIN f ON f.term = i.term JOIN w ON w.d = p.d, c
+  GROUP BY i.item, i.item_id, w.d, w.doc_id),
+r AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50""",
 }
