@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import chat, decontam, huffman, langid, lexical, linededup, packing, simhash, topk, urlfilter, warc
+from rankfold.llm import (chat, collocation, decontam, huffman, jaccard, langid, lexical, linededup, packing, simhash,
+                          topk, urlfilter, warc)
 from rankfold.llm.store import ship
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,14 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(_table(spark, sf_dir, "documents"), 2000, 30)
+
+
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
@@ -99,7 +108,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_topk, op2_warc, op3_packing, op4_simhash, op5_linededup, op6_decontam, op7_huffman, op8_chat, op9_langid,
-    op10_urlfilter, op11_lexical, pipeline)}
+    op10_urlfilter, op11_lexical, op12_collocations, op13_jaccard, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op1_topk": """
@@ -174,4 +183,48 @@ r AS (
   SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
   FROM s WHERE score > 0)
 SELECT * FROM r WHERE rank <= 50""",
+    "op12_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS t FROM p),
+n AS (SELECT lang, CAST(sum(len(t)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, t[s:s + m - 1] AS g FROM (
+    SELECT lang, t, m, unnest(range(1, CAST(len(t) - m + 2 AS BIGINT))) AS s
+    FROM (SELECT lang, t, unnest([1, 2, 3, 4]) AS m FROM w) WHERE len(t) >= m)),
+f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY lang, g HAVING count(*) >= 30),
+c AS (SELECT lang, g, f AS a FROM f WHERE len(g) >= 2),
+k AS (
+  SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, CAST(len(g) AS BIGINT))) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM k) WHERE o = 1),
+u AS (
+  SELECT lang, g[s:s + m - 1] AS g, max(a) AS longer FROM (
+    SELECT lang, g, a, m, unnest(range(1, CAST(len(g) - m + 2 AS BIGINT))) AS s
+    FROM (SELECT lang, g, a, unnest([2, 3]) AS m FROM c) WHERE len(g) > m)
+  GROUP BY ALL),
+r AS (
+  SELECT b.lang, array_to_string(b.g, ' ') AS phrase, b.a, b.l, b.r, b.score
+  FROM b LEFT JOIN u ON u.lang = b.lang AND u.g = b.g
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM r) JOIN n USING (lang)
+WHERE rank <= 2000""",
+    "op13_jaccard": r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t
+  FROM documents),
+s AS (
+  SELECT DISTINCT d, array_to_string(t[i:i + 4], ' ') AS shingle
+  FROM (SELECT d, t, unnest(range(1, greatest(CAST(len(t) AS BIGINT) - 3, 2))) AS i FROM w WHERE len(t) > 0)),
+n AS (SELECT d, count(*) AS n FROM s GROUP BY d),
+c AS (SELECT a.d AS a, b.d AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.d <> b.d GROUP BY a.d, b.d),
+l AS (SELECT a, b FROM c JOIN n x ON x.d = a JOIN n y ON y.d = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+r(d, root) AS (SELECT d, d FROM w UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.d),
+m AS (SELECT r.d, min(w.doc_id) AS component_id FROM r JOIN w ON w.d = r.root GROUP BY r.d)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM w JOIN m USING (d) LEFT JOIN n USING (d)""",
 }
