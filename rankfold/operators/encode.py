@@ -12,13 +12,16 @@ Scalers fit with one aggregate and bring back one row of statistics.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.functions.lists import pad_sequence, split_tokens
 from rankfold.operators.index import dense_ids, global_index
+from rankfold.operators.selection import values_at
 
 PAD_ID = 0
 
@@ -207,22 +210,22 @@ def fit_scaler(df: DataFrame, cols: list[str], kind: str = "minmax") -> ScalerMo
 
 
 def exact_quantiles(df: DataFrame, col: str, levels: list[float]) -> list[float]:
-    """Linear-interpolated quantiles (numpy's default) without holding all
-    values in one task: a distributed index over the sorted values, then
-    only the <= 2 rows per level that bracket each quantile are fetched."""
+    """Linear-interpolated quantiles (numpy's default) by weighted selection:
+    equal values are one run, and only the two values that bracket each
+    quantile leave the sorted runs."""
+    def bracket(total: np.ndarray) -> np.ndarray:
+        low = np.floor(np.outer(total - 1, levels)).astype(np.int64)
+        return np.concatenate([low, np.minimum(low + 1, (total - 1)[:, None])], axis=1)
+
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    idx = global_index(vals, ["v"], "i", 0)
-    n = idx.count()
+    n, got = values_at(vals, "v", bracket)
     if n == 0:
         return [float("nan")] * len(levels)
-    wanted = {}
-    for q in levels:
-        h = (n - 1) * q
-        lo = int(h // 1)
-        wanted[q] = (h, lo, min(lo + 1, n - 1))
-    need = sorted({i for _, lo, hi in wanted.values() for i in (lo, hi)})
-    got = {r["i"]: r["v"] for r in idx.where(F.col("i").isin(need)).collect()}
-    return [got[lo] + (h - lo) * (got[hi] - got[lo]) for h, lo, hi in wanted.values()]
+    out = []
+    for i, q in enumerate(levels):
+        h, lo, hi = (n - 1) * q, got[i], got[len(levels) + i]
+        out.append(lo + (h - math.floor(h)) * (hi - lo))
+    return out
 
 
 def quantile_boundaries(df: DataFrame, col: str, num_buckets: int) -> list[float]:

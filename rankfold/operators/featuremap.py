@@ -9,7 +9,7 @@ vocabulary sizes inside it come from one aggregate per vocabulary.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankfold.operators import encode as E
@@ -117,6 +117,32 @@ def narrow(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
 
 
+# ------------------------------- feature lists (P2, P20) and order (O3) --
+
+# Identity, time and raw clock columns that no model is trained on.
+TRAINING_DROP = ["impression_id", "user_id", "article_id", "impression_time", "published_time", "last_modified_time",
+                 "day", "hour", "minute", "dayofweek", "dayofyear", "total_seconds"]
+
+
+def select_features(df: DataFrame, features: list[str], keys: list[str] = ()) -> DataFrame:
+    """The columns of ``features`` and ``keys`` that ``df`` has, in the order
+    of its columns (P2); names that it lacks are no error."""
+    wanted = {*features, *keys}
+    return df.select(*[c for c in df.columns if c in wanted])
+
+
+def drop_columns(df: DataFrame, names: list[str] = TRAINING_DROP) -> DataFrame:
+    """``df`` without the columns of a drop-list (P20)."""
+    return df.drop(*names)
+
+
+def sort_importances(importance: DataFrame) -> DataFrame:
+    """(feature, importance, place): most important first, ties by name (O3).
+    One row per feature column: bounded by the schema, not by the data."""
+    order = Window.orderBy(F.desc("importance"), F.asc("feature"))
+    return importance.select("feature", "importance", F.row_number().over(order).alias("place"))
+
+
 # --------------------------------------------- feature selection (P19) --
 
 def top_features(importance: DataFrame, k: int, existing: list[str] = (),

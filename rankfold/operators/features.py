@@ -26,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankfold.operators.selection import group_medians, runs_of
+
 KINDS = ("nunique", "min", "max", "mean", "median", "std", "skew", "first", "last",
          "maxmin", "count")
 
@@ -64,48 +66,33 @@ def _agg_expr(kind: str, col: str | None, order: Column | None, window=None) ->
 
 
 def group_stats(df: DataFrame, keys: list[str], spec: list[tuple[str, str | None, str]],
-                order: list[str] | None = None, median_strategy: str = "auto",
-                max_group_rows: int = 5_000_000) -> DataFrame:
+                order: list[str] | None = None, median_strategy: str = "select") -> DataFrame:
     """One row per key with every requested statistic (aggregate form).
 
-    Exact medians use Spark's ``median`` aggregate (which buffers a key's
-    values) only when the largest key is below ``max_group_rows``; otherwise
-    they come from ``group_median``'s distributed positions."""
-    from rankfold.operators.ordered import choose_form
+    Exact medians of all columns come from one weighted selection over runs of
+    equal values (``group_median``); ``window`` takes Spark's ``median``
+    aggregate instead, which buffers a key's values."""
     o = F.struct(*[F.col(c) for c in order]) if order else None
     medians = [(c, n) for k, c, n in spec if k == "median"]
-    split = False
-    if medians and keys:
-        split = choose_form(df, keys, "auto" if median_strategy == "auto" else median_strategy,
-                            max_group_rows) == "chunked"
-    exprs = [_agg_expr(kind, col, o).alias(name) for kind, col, name in spec
-             if not (split and kind == "median")]
-    out = df.groupBy(*keys).agg(*exprs)
-    if split:
-        for col, name in medians:
-            m = group_median(df, keys, col, name)
-            out = out.join(m, [out[k].eqNullSafe(m[f"_mk_{k}"]) for k in keys], "left").drop(
-                *[f"_mk_{k}" for k in keys])
-        out = out.select(*keys, *[n for _, _, n in spec])
-    return out
-
-
-def group_median(df: DataFrame, keys: list[str], col: str, out: str) -> DataFrame:
-    """Exact median per key (mid-point of the two middle values) without a
-    per-key buffer: a distributed index over ``(keys, value)`` places every
-    value; the one or two middle positions of each key are picked by a join
-    with the key's start and count.  Returns ``_mk_<key>`` columns + ``out``."""
-    from rankfold.operators.index import global_index
-    vals = df.select(*keys, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    idx = global_index(vals, [*keys, "_v"], "_gi", 0)
-    starts = idx.groupBy(*keys).agg(F.min("_gi").alias("_g0"), F.count(F.lit(1)).alias("_n")).select(
-        *[F.col(k).alias(f"_sk_{k}") for k in keys], "_g0", "_n")
-    j = idx.join(starts, [F.col(k).eqNullSafe(F.col(f"_sk_{k}")) for k in keys])
-    lo = F.col("_g0") + F.floor((F.col("_n") - 1) / 2)
-    hi = F.col("_g0") + F.floor(F.col("_n") / 2)
-    mid = j.where((F.col("_gi") == lo) | (F.col("_gi") == hi))
-    return mid.groupBy(*keys).agg(F.avg("_v").alias(out)).select(
-        *[F.col(k).alias(f"_mk_{k}") for k in keys], out)
+    split = medians and median_strategy != "window"
+    exprs = [_agg_expr(kind, col, o).alias(name) for kind, col, name in spec if not (split and kind == "median")]
+    if not split:
+        return df.groupBy(*keys).agg(*exprs)
+    out = df.groupBy(*keys).agg(*exprs) if exprs else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    m = group_median(df, keys, medians)
+    same = reduce(lambda a, b: a & b, [out[k].eqNullSafe(m[f"_mk_{k}"]) for k in keys]) if keys else F.lit(True)
+    return out.join(m, same, "left").select(*keys, *[n for _, _, n in spec])
+
+
+def group_median(df: DataFrame, keys: list[str], medians: list[tuple[str, str]]) -> DataFrame:
+    """Exact median per key (mid-point of the two middle values) of every
+    (column, output): one selection for all columns, without a per-key buffer.
+    Returns ``_mk_<key>`` columns and the outputs."""
+    cells = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, (c, _) in enumerate(medians)])
+    long = df.select(*[F.col(k).alias(f"_mk_{k}") for k in keys], F.inline(cells)).where(F.col("_v").isNotNull())
+    named = [f"_mk_{k}" for k in keys]
+    picked = group_medians(runs_of(long, [*named, "_c"], "_v"), [*named, "_c"], "_v", "weight", "_m")
+    return picked.groupBy(*named).agg(*[F.max(F.when(F.col("_c") == i, F.col("_m"))).alias(n) for i, (_, n) in enumerate(medians)])
 
 
 def _join_back(df: DataFrame, stats: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
@@ -124,8 +111,7 @@ def _anchor(keys: tuple[str, ...], all_sets: list[tuple[str, ...]]) -> str:
 
 def attach_stats(df: DataFrame, key_sets: list[tuple[list[str], list[tuple[str, str | None, str]]]],
                  order: list[str] | None = None, form: str = "join",
-                 null_safe: bool = True, median_strategy: str = "auto",
-                 max_group_rows: int = 5_000_000) -> DataFrame:
+                 null_safe: bool = True, median_strategy: str = "select") -> DataFrame:
     """Add the statistics of every key set to each row of ``df``.
 
     ``key_sets`` = ``[(keys, spec), ...]``; specs with equal keys are fused.
@@ -166,7 +152,7 @@ def attach_stats(df: DataFrame, key_sets: list[tuple[list[str], list[tuple[str,
         ensure_checkpoint_dir(df.sparkSession)
         out = df = df.checkpoint(eager=True)
     for keys, spec in fused.items():
-        stats = group_stats(df, list(keys), spec, order, median_strategy, max_group_rows)
+        stats = group_stats(df, list(keys), spec, order, median_strategy)
         out = _join_back(out, stats, list(keys), null_safe)
     return out
 

@@ -9,10 +9,12 @@ partition's offset.  Only one count per partition reaches the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankfold.functions.scalar import stable_hash
+from rankfold.functions.scalar import epoch_micros, stable_hash
+from rankfold.operators.selection import weighted_select
 from rankfold.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
@@ -68,18 +70,41 @@ def dedupe_by_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return picked.select(*key, *[F.col("_row")[c].alias(c) for c in others])
 
 
+def _bound(order: Column, bound, types: list) -> Column:
+    """``order`` (a struct) is at or after the row ``bound``; nulls are first."""
+    cells = [F.lit(v).cast(t) for v, t in zip(bound, types)]
+    return order >= F.struct(*[c.alias(f"_{i}") for i, c in enumerate(cells)])
+
+
 def split_sequential(df: DataFrame, order: list[str], valid_size: float | int = 0,
                      test_size: float | int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Tail of the ordering goes to valid then test (D1); adds ``split``.
-    Fractions (< 1) are of the row count; integers are row counts."""
-    idx = global_index(df, order, "_i", 0, num_partitions)
-    n = idx.count()
-    n_test = int(test_size * n) if 0 < test_size < 1 else int(test_size)
-    n_valid = int(valid_size * n) if 0 < valid_size < 1 else int(valid_size)
-    cut_valid, cut_test = n - n_valid - n_test, n - n_test
-    split = (F.when(F.col("_i") >= cut_test, "test").when(F.col("_i") >= cut_valid, "valid")
-             .otherwise("train"))
-    return idx.withColumn("split", split).drop("_i")
+    """Tail of the ordering (a total order) goes to valid then test (D1); adds
+    ``split``.  Fractions (< 1) are of the row count; integers are row counts.
+
+    The two rows at which valid and test begin are selected from the order
+    columns alone; every row is then compared with them where it is."""
+    kinds = df.select(*order).schema
+    plain = []  # order columns whose values a literal can name: instants as microseconds
+    for i, f in enumerate(kinds):
+        kind = f.dataType.simpleString()
+        c = F.unix_micros(f.name) if kind == "timestamp" else epoch_micros(f.name) if kind == "timestamp_ntz" else F.col(f.name)
+        plain.append(c.alias(f"_{i}"))
+    key = F.struct(*plain)
+
+    def starts(total: np.ndarray) -> np.ndarray:
+        test = (test_size * total).astype(np.int64) if 0 < test_size < 1 else np.full(len(total), int(test_size))
+        valid = (valid_size * total).astype(np.int64) if 0 < valid_size < 1 else np.full(len(total), int(valid_size))
+        return np.stack([np.where(valid > 0, np.maximum(total - valid - test, 0), -1), np.where(test > 0, np.maximum(total - test, 0), -1)], axis=1)
+
+    found = weighted_select(df.select(key.alias("_o"), F.lit(1).alias("_w")), [], "_o", "_w", starts, num_partitions)
+    at = {r["place"]: r["_o"] for r in found.collect()}  # two rows
+    types = [f.dataType for f in df.select(key.alias("_o")).schema["_o"].dataType]
+    split = F.lit("train")
+    if 0 in at:
+        split = F.when(_bound(key, at[0], types), "valid").otherwise(split)
+    if 1 in at:
+        split = F.when(_bound(key, at[1], types), "test").otherwise(split)
+    return df.withColumn("split", split)
 
 
 def split_random(df: DataFrame, key: list[str], valid_size: float = 0.1, test_size: float = 0.1,

@@ -3,9 +3,8 @@
 AUC is exact and tie-aware (ties count one half), computed from a score
 histogram: ``(group, score) -> (positives, negatives)`` is a partial/final
 aggregate, and the negatives ranked below each score are a running sum
-inside the group.  The running sum uses a window when the largest group's
-histogram is small (impressions) and the skew-safe segmented prefix sum
-otherwise (a global AUC, or a user holding a third of the rows).
+inside the group, sorted across partitions with a carry, so that one group (a
+global AUC, or a user holding a third of the rows) spans many of them.
 
 MRR / NDCG need a rank inside the group (score descending, ties by
 candidate position — the reference leaves ties to an unstable sort).
@@ -22,8 +21,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankfold.operators.index import segmented_prefix_sum
-from rankfold.operators.ordered import DEFAULT_MAX_GROUP_ROWS, choose_form
+from rankfold.operators.boundary import running_sums
 from rankfold.session import ensure_checkpoint_dir
 
 EPS_LOGLOSS = 1e-7
@@ -36,20 +34,18 @@ def _histogram(df: DataFrame, group: list[str], label: str, score: str) -> DataF
 
 
 def group_auc(df: DataFrame, group: list[str], label: str = "label", score: str = "score",
-              strategy: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+              strategy: str = "auto") -> DataFrame:
     """Per group: ``auc`` (NULL for a one-class group), ``n``, ``n_pos``."""
-    return _auc_of(_histogram(df, group, label, score), group, score, strategy, max_group_rows)
+    return _auc_of(_histogram(df, group, label, score), group, score, strategy)
 
 
-def _auc_of(h: DataFrame, group: list[str], score: str, strategy: str,
-            max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    form = "chunked" if not group else choose_form(h, group, strategy, max_group_rows)
-    if form == "window":
+def _auc_of(h: DataFrame, group: list[str], score: str, strategy: str) -> DataFrame:
+    if strategy == "window" and group:
         w = (Window.partitionBy(*group).orderBy(score)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         cum = h.withColumn("_neg_cum", F.sum("_neg").over(w))
     else:
-        cum = segmented_prefix_sum(h, group, [score], ["_neg"])
+        cum = running_sums(h, group, [score], {"_neg_cum": "_neg"})
     below = F.col("_neg_cum") - F.col("_neg")
     contrib = F.col("_pos") * (below + F.lit(0.5) * F.col("_neg"))
     g = cum.groupBy(*group).agg(F.sum(contrib).alias("_c"), F.sum("_pos").alias("n_pos"),
@@ -94,7 +90,7 @@ def impression_auc(df: DataFrame, group: list[str], label="label", score="score"
 def _ranked(df: DataFrame, group: list[str], score: str, pos: str, by: str | None = None,
             out: str = "_rank", strategy: str = "auto") -> DataFrame:
     """1-based rank by descending ``by`` (default the score), ties by
-    position; a window only when the largest group is below the bound."""
+    position; ``window`` for groups of bounded size."""
     from rankfold.operators.sequence import positions
     key = F.col(by or score)
     r = positions(df, group, [key.desc_nulls_last(), F.col(pos).asc()], "_p0", strategy)
@@ -128,9 +124,10 @@ def _ideal_dcg(df: DataFrame, group: list[str], ks: list[int], label: str) -> Da
 
 def ranking_metrics(df: DataFrame, group: list[str], ks: list[int] = (), label="label", score="score",
                     pos="pos", strategy: str = "auto") -> DataFrame:
-    """One row: ``mrr`` and ``ndcg_k`` for each k, all from one ranking of the rows."""
+    """One row: ``mrr`` and ``ndcg_k`` for each k, all from one ranking of the
+    rows, which the ideal order's label counts read as well."""
     ks = sorted(set(ks))
-    r = _ranked(df.select(*group, label, score, pos), group, score, pos, strategy=strategy)
+    df = r = _ranked(df.select(*group, label, score, pos), group, score, pos, strategy=strategy)
     y = F.col(label).cast("double")
     hit = [F.sum(F.when(F.col("_rank") <= k, _gain(label) / F.log2(F.col("_rank") + F.lit(1.0))).otherwise(0.0))
            .alias(f"_dcg{k}") for k in ks]

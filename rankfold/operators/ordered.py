@@ -1,19 +1,18 @@
 """Order-dependent features: lag/lead gaps and rolling means.
 
-Two physical forms behind each operator:
+Three physical forms behind each operator:
 
+* ``exchange`` (default) — rows sorted once across partitions, neighbours of a
+  partition's first and last rows exchanged (``boundary``): one shuffle, and one
+  hot key spans many partitions.
 * ``window`` — ``Window.partitionBy(keys).orderBy(order)``: one hash shuffle,
-  but every row of one key is sorted in one task.
+  but every row of one key is sorted in one task; for keys of bounded size.
 * ``chunked`` — distributed prefix + chunk/halo: a dense index over
   ``(keys, order)`` (range partitioned, so one hot key spans many
   partitions), ``chunk = idx div C``, and the last/first ``m`` rows of each
   chunk copied into the neighbouring chunk.  Windows then run inside
   ``(chunk, keys)`` groups of at most ``C + 2m`` rows, and are exact because
   the neighbours of any row are at most ``m`` index positions away.
-
-``auto`` measures the largest key group with one aggregate (partial +
-final, a single number reaches the driver) and picks ``window`` when it is
-below ``max_group_rows``.
 """
 
 from __future__ import annotations
@@ -22,27 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.functions.scalar import duration_seconds
+from rankfold.operators import boundary
 from rankfold.operators.index import global_index
 
-DEFAULT_MAX_GROUP_ROWS = 5_000_000
 DEFAULT_CHUNK_ROWS = 1_000_000
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    if not keys:
-        return df.count()
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def choose_form(df: DataFrame, keys: list[str], strategy: str, max_group_rows: int) -> str:
-    if strategy != "auto":
-        return strategy
-    if not keys:
-        return "chunked"
-    return "window" if largest_group(df, keys) <= max_group_rows else "chunked"
-
-
 def chunk_with_halo(df: DataFrame, keys: list[str], order: list[str], before: int, after: int,
                     chunk_rows: int = DEFAULT_CHUNK_ROWS, num_partitions: int | None = None) -> DataFrame:
     """Rows tagged ``_idx``, ``_chunk`` and ``_halo`` (copies from neighbours)."""
@@ -66,8 +50,7 @@ def _over(form: str, keys: list[str], order: list[str]):
 
 
 def lag_lead_gaps(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
-                  offsets: dict[int, tuple[str, str]], strategy: str = "auto",
-                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                  offsets: dict[int, tuple[str, str]], strategy: str = "exchange",
                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """For each offset k -> (before_name, after_name):
     ``before = seconds(ts - ts of the k-th previous row of the key)``,
@@ -75,8 +58,9 @@ def lag_lead_gaps(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
     reference).  Rows are ordered by ``(ts, *tiebreak)``; null keys form a
     group of their own, as window partitions do.
     """
-    order = [ts, *tiebreak]
-    form = choose_form(df, keys, strategy, max_group_rows)
+    if strategy == "exchange":
+        return boundary.gaps(df, keys, ts, tiebreak, offsets)
+    order, form = [ts, *tiebreak], strategy
     k_max = max(offsets)
     base = df if form == "window" else chunk_with_halo(df, keys, order, k_max, k_max, chunk_rows)
     w = _over(form, keys, order)
@@ -91,13 +75,14 @@ def lag_lead_gaps(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
 
 
 def rolling_means(df: DataFrame, cols: list[str], sizes: list[int], keys: list[str],
-                  order: list[str], strategy: str = "auto",
-                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                  order: list[str], strategy: str = "exchange",
                   chunk_rows: int = DEFAULT_CHUNK_ROWS, suffix: str = "_mean{w}") -> DataFrame:
     """Mean of the last ``w`` rows (current included) per column and size;
     NULL unless all ``w`` values are present (full-window rule).  With no
     keys the order is the whole frame's (the reference's form)."""
-    form = choose_form(df, keys, strategy, max_group_rows)
+    if strategy == "exchange":
+        return boundary.rolling(df, cols, sizes, order, keys, suffix)
+    form = strategy
     w_max = max(sizes)
     base = df if form == "window" else chunk_with_halo(df, keys, order, w_max - 1, 0, chunk_rows)
     if form == "window" and not keys:

@@ -19,8 +19,7 @@ def rank_in_group(df: DataFrame, group: list[str] = GROUP, score: str = "score",
                   pos: str = "pos", out: str = "rank", strategy: str = "auto") -> DataFrame:
     """1-based rank by descending score inside the group; ties keep the
     earlier candidate position first (a stable sort, as in the reference).
-    A window when the largest group is below the measured bound, the
-    distributed index otherwise (see ``sequence.positions``)."""
+    ``window`` for groups of bounded size (see ``sequence.positions``)."""
     from rankfold.operators.sequence import positions
     ranked = positions(df, group, [F.col(score).desc_nulls_last(), F.col(pos).asc()], "_p", strategy)
     return ranked.withColumn(out, (F.col("_p") + 1).cast("int")).drop("_p", "seq_n")

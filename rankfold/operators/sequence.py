@@ -2,9 +2,9 @@
 
 Sequences are kept in *long form* — ``(user, seq_pos, item, time)`` — and
 only turned into arrays where the array is bounded (the last ``max_len``
-items a model reads).  Positions come from a window when the largest user is
-below a measured bound, otherwise from the distributed index, so a user with
-a third of all clicks is never sorted or collected in one task.
+items a model reads).  Positions come from one sort across partitions with a
+carried count, so a user with a third of all clicks is never sorted or collected
+in one task.
 """
 
 from __future__ import annotations
@@ -16,25 +16,22 @@ from pyspark.sql import functions as F
 
 from rankfold.functions.lists import pad_sequence
 from rankfold.functions.scalar import clip_max, duration_days, duration_hours, iso_weekday, ntz_lit
-from rankfold.operators.index import global_index
-from rankfold.operators.ordered import DEFAULT_MAX_GROUP_ROWS, choose_form
+from rankfold.operators.boundary import running_sums
 
 
-def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "seq_pos",
-              strategy: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "seq_pos", strategy: str = "auto") -> DataFrame:
     """0-based position of each row inside its key, in ``order`` (ties must be
-    broken by the caller), plus ``seq_n`` = rows of the key."""
-    form = choose_form(df, keys, strategy, max_group_rows)
-    if form == "window":
+    broken by the caller), plus ``seq_n`` = rows of the key.
+
+    By default rows are sorted once across partitions and counted with a carry
+    (``boundary.running_sums``), so a key of any size is split; ``window`` is for
+    keys whose rows are bounded."""
+    if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         return df.withColumns({out: (F.row_number().over(w) - 1).cast("long"), "seq_n": n})
-    idx = global_index(df, [*keys, *order], "_gi", 0)
-    starts = (idx.groupBy(*keys).agg(F.min("_gi").alias("_g0"), F.count(F.lit(1)).alias("seq_n"))
-              .select(*[F.col(k).alias(f"_sk_{k}") for k in keys], "_g0", "seq_n"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_sk_{k}")) for k in keys]
-    j = idx.join(starts, cond, "left").drop(*[f"_sk_{k}" for k in keys])
-    return j.withColumn(out, F.col("_gi") - F.col("_g0")).drop("_gi", "_g0")
+    done = running_sums(df, keys, order, {out: F.lit(1.0)}, {out: "seq_n"})
+    return done.withColumns({out: (F.col(out) - 1).cast("long"), "seq_n": F.col("seq_n").cast("long")})
 
 
 def sequence_long(hist: DataFrame, user: str, item: str, ts: str, tiebreak: list[str],

@@ -194,11 +194,18 @@ def softmax_attend(df: DataFrame, q: str, keys: str, values: str, mask: str, dim
 
 def pca(df: DataFrame, vec: str, k: int, out: str = "pca") -> DataFrame:
     """Centred PCA to k dimensions (V1): Spark ML's PCA does not centre, so a
-    mean-only StandardScaler runs first.  The d x d covariance is the only
-    thing on the driver (d = vector width)."""
+    mean-only StandardScaler runs first.  A component's sign is fixed: its
+    loading of largest size (the first of equals) is positive.  The d x d
+    covariance and the d x k components are all that the driver holds (d = vector
+    width)."""
+    import numpy as np
     from pyspark.ml.feature import PCA, StandardScaler
     from pyspark.ml.functions import array_to_vector, vector_to_array
     v = df.withColumn("_vec", array_to_vector(F.col(vec).cast("array<double>")))
     centred = StandardScaler(withMean=True, withStd=False, inputCol="_vec", outputCol="_c").fit(v).transform(v)
     model = PCA(k=k, inputCol="_c", outputCol="_p").fit(centred)
-    return model.transform(centred).withColumn(out, vector_to_array("_p")).drop("_vec", "_c", "_p")
+    loadings = model.pc.toArray()
+    top = loadings[np.abs(loadings).argmax(axis=0), np.arange(k)]
+    signs = F.array(*[F.lit(-1.0 if x < 0 else 1.0) for x in top])
+    fixed = F.zip_with(vector_to_array("_p"), signs, lambda x, s: x * s)
+    return model.transform(centred).withColumn(out, fixed).drop("_vec", "_c", "_p")

@@ -53,7 +53,7 @@ def _finish(df, row_cols, spec):
     cols = [F.col(c) for c in row_cols]
     for kind, col, name in spec:
         cols.append(F.col(name).cast("long").alias(name) if kind in INT_KINDS
-                    else F.round(F.col(name).cast("double"), _places(kind, col)).alias(name))
+                    else (F.round(F.col(name).cast("double"), _places(kind, col)) + F.lit(0.0)).alias(name))
     return df.select(*cols)
 
 
@@ -81,8 +81,9 @@ def _sql_agg(kind, col, order_sql):
     return f"{kind}({col})"   # min, max, median
 
 
-def stats_sql(ctes: str, base: str, row_cols, key_sets, order=None):
-    """Oracle: one GROUP BY per key set joined back null-safely."""
+def stats_sql(ctes: str, base: str, row_cols, key_sets, order=None, places=_places, nudge=0.0):
+    """Oracle: one GROUP BY per key set joined back null-safely.  ``nudge`` is
+    added before rounding, so that exact ties round the same way everywhere."""
     fused = {}
     for keys, spec in key_sets:
         fused.setdefault(tuple(keys), []).extend(spec)
@@ -102,7 +103,7 @@ def stats_sql(ctes: str, base: str, row_cols, key_sets, order=None):
         joins.append(f"LEFT JOIN g{i} ON {cond}")
         for k, c, n in spec:
             outs.append(f"CAST(g{i}.\"{n}\" AS BIGINT) AS \"{n}\"" if k in INT_KINDS
-                        else f"ROUND(CAST(g{i}.\"{n}\" AS DOUBLE), {_places(k, c)}) AS \"{n}\"")
+                        else f"ROUND(CAST(g{i}.\"{n}\" AS DOUBLE) + {nudge}, {places(k, c)}) + 0.0 AS \"{n}\"")
     return ("WITH " + ",\n".join(parts) + f"\nSELECT {', '.join(outs)} FROM {base} b\n" + "\n".join(joins))
 
 

@@ -137,13 +137,13 @@ def q_lookup_default(spark, sf):
 
 @query("pairwise_products", "WITH vec AS (SELECT vec_id AS article_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)\n"
        "SELECT article_id, [" + ", ".join(
-           f"list_transform(range(1, 17), lambda k: round(v[{16 * i} + k] * v[{16 * j} + k], 6))"
+           f"list_transform(range(1, 17), lambda k: round(v[{16 * i} + k] * v[{16 * j} + k], 6) + 0.0)"
            for i in range(4) for j in range(i + 1, 4)) + "] AS products FROM vec")
 def q_pairwise_products(spark, sf):
     """Element-wise products of field pairs (V5)."""
     p = V.pairwise_elementwise(V.split_fields("embedding", 4, 16), 4)
     return st.vectors(spark, sf).select(
-        "article_id", F.transform(p, lambda a: F.transform(a, lambda x: F.round(x, 6))).alias("products"))
+        "article_id", F.transform(p, lambda a: F.transform(a, lambda x: F.round(x, 6) + F.lit(0.0))).alias("products"))
 
 
 @query("parse_timestamps", """

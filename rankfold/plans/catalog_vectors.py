@@ -21,11 +21,11 @@ POOL_HASHES, POOL_BITS = 4, 3
 
 def rv(c):
     """Round every element of a double array to 6 decimals."""
-    return F.transform(F.col(c) if isinstance(c, str) else c, lambda x: F.round(x, 6))
+    return F.transform(F.col(c) if isinstance(c, str) else c, lambda x: F.round(x, 6) + 0.0)
 
 
 def _rsql(expr):
-    return f"list_transform({expr}, lambda x: round(x, 6))"
+    return f"list_transform({expr}, lambda x: round(x, 6) + 0.0)"
 
 
 VEC = """vec AS (SELECT vec_id AS article_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
@@ -52,7 +52,7 @@ def q_avg_pool(spark, sf):
 
 @query("sum_pool", with_(EV, VEC_DIMS) + """
 , u AS (SELECT ev.user_id, vd.d, sum(vd.x) AS s FROM ev JOIN vd ON ev.article_id = vd.article_id GROUP BY 1, 2)
-SELECT user_id, list(round(s, 6) ORDER BY d) AS pooled FROM u GROUP BY user_id""")
+SELECT user_id, list(round(s, 6) + 0.0 ORDER BY d) AS pooled FROM u GROUP BY user_id""")
 def q_sum_pool(spark, sf):
     p = V.pool_vectors(_user_vectors(spark, sf), ["user_id"], "embedding", "sum")
     return p.select("user_id", rv("pooled").alias("pooled"))
@@ -91,7 +91,7 @@ def q_pairwise_inner(spark, sf):
 
 @query("kmax_list", with_(VEC_DIMS) + """
 , r AS (SELECT article_id, d, x, row_number() OVER (PARTITION BY article_id ORDER BY x DESC, d) AS rk FROM vd)
-SELECT article_id, list(round(x, 6) ORDER BY d) AS top5 FROM r WHERE rk <= 5 GROUP BY article_id""")
+SELECT article_id, list(round(x, 6) + 0.0 ORDER BY d) AS top5 FROM r WHERE rk <= 5 GROUP BY article_id""")
 def q_kmax_list(spark, sf):
     v = st.vectors(spark, sf)
     return v.select("article_id", rv(kmax_in_order("embedding", 5)).alias("top5"))
@@ -204,7 +204,7 @@ agg AS (SELECT user_id, d, sum(x) / {float(POOL_HASHES)} AS s FROM dims GROUP BY
 full_ AS (SELECT us.user_id, dd.d, coalesce(agg.s, 0.0) AS s
           FROM (SELECT DISTINCT user_id FROM tg) us, range(1, {DIM + 1}) dd(d)
           LEFT JOIN agg ON agg.user_id = us.user_id AND agg.d = dd.d)
-SELECT user_id, list(round(s, 6) ORDER BY d) AS pooled FROM full_ GROUP BY user_id"""
+SELECT user_id, list(round(s, 6) + 0.0 ORDER BY d) AS pooled FROM full_ GROUP BY user_id"""
 
 
 @query("lsh_collision_pool", _pool_sql())
@@ -225,7 +225,7 @@ e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY user_id)) AS e FROM sc),
 w AS (SELECT *, e / sum(e) OVER (PARTITION BY user_id) AS a FROM e),
 dims AS (SELECT user_id, a, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM w),
 agg AS (SELECT user_id, d, sum(a * x) AS o FROM dims GROUP BY 1, 2)
-SELECT user_id, list(round(o, 6) ORDER BY d) AS attended FROM agg GROUP BY user_id""")
+SELECT user_id, list(round(o, 6) + 0.0 ORDER BY d) AS attended FROM agg GROUP BY user_id""")
 def q_softmax_attend(spark, sf):
     fr = user_frames(spark, sf)
     out = V.softmax_attend(fr, "target", "hist", "hist", "mask", DIM, scale=8.0)
@@ -237,3 +237,9 @@ def q_pca(spark, sf):
     """Rows-only: a component's sign is arbitrary."""
     v = st.vectors(spark, sf)
     return V.pca(v, "embedding", 64).select("article_id", "pca")
+
+
+@query("pca16")
+def q_pca16(spark, sf):
+    """64 dimensions reduced to 16, signs fixed; tested against numpy (V1)."""
+    return V.pca(st.vectors(spark, sf), "embedding", 16).select("article_id", "pca")

@@ -34,11 +34,11 @@ def query(name: str, sql: str | None = None):
 def r6(c: Column | str) -> Column:
     """Round to 6 decimals as double (both sides of every float comparison)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), 6)
+    return F.round(col.cast("double"), 6) + F.lit(0.0)  # no negative zero
 
 
 def load_all() -> None:
     # importing the catalog modules fills the registry
-    from rankfold.plans import (catalog_core, catalog_encode, catalog_features,  # noqa: F401
+    from rankfold.plans import (catalog_build, catalog_core, catalog_encode, catalog_features,  # noqa: F401
                                 catalog_files, catalog_learn, catalog_metrics, catalog_streaming,
-                                catalog_vectors)
+                                catalog_vectors, catalog_wide)

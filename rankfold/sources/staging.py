@@ -78,16 +78,14 @@ def candidate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     used as model scores: score_a = l_discount (many ties, inside [0,1]),
     score_b = l_extendedprice (outside [0,1]), score_c = l_tax.
 
-    The position is computed row-wise (a window per order when the largest
-    order is below a measured bound, the distributed index otherwise), so no
-    order's lines are collected into one value."""
+    The position is a window over the order: a page bounds its lines."""
     from rankfold.operators.sequence import positions
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", *LINE_ORDER, "l_returnflag", "l_discount", "l_tax", "l_quantity")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     j = li.join(orders, "l_orderkey", "inner")
-    p = positions(j, ["l_orderkey"], [*LINE_ORDER, "l_returnflag", "l_discount", "l_tax", "l_quantity"], "pos")
+    p = positions(j, ["l_orderkey"], [*LINE_ORDER, "l_returnflag", "l_discount", "l_tax", "l_quantity"], "pos", strategy="window")
     return p.select(
         F.col("l_orderkey").alias("impression_id"), F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("impression_time"), F.col("pos").cast("long").alias("pos"),
