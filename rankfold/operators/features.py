@@ -191,8 +191,18 @@ COUNT_KEY_SETS = [
 ]
 
 
-def count_features(df: DataFrame, names: list[str] | None = None, form: str = "join") -> DataFrame:
-    """Row counts over entity/clock key sets."""
+def count_features(df: DataFrame, names: list[str] | None = None, form: str = "join",
+                   order: list[str] = ("impression_time",)) -> DataFrame:
+    """Row counts over entity/clock key sets (W6).  ``rollup`` counts once per
+    (entity, second) and merges up, so that ``df`` is joined once per entity;
+    the key sets of more columns are joined one by one in every form."""
+    if form == "rollup":
+        from rankfold.operators.rollup import Rollup, attach_rollups
+        wanted = [(n, k) for n, k in COUNT_KEY_SETS if names is None or n in names]
+        plain = {p: {(k[0] if len(k) == 2 else None): n for n, k in wanted if k[-1] == p and len(k) <= 2} for p in ("user_id", "article_id")}
+        out = attach_rollups(df, [Rollup(p, [], [], list(order), count_names=c) for p, c in plain.items() if c])
+        rest = [n for n, k in wanted if len(k) > 2]
+        return count_features(out, rest) if rest else out
     sets = [(keys, [("count", None, name)]) for name, keys in COUNT_KEY_SETS
             if names is None or name in names]
     return attach_stats(df, sets, form=form)
@@ -218,6 +228,10 @@ def history_stats(cand: DataFrame, hist: DataFrame,
         (["user_id", "article_type"], [("count", None, "user_article_type_count")]),
         (["user_id", "category"], [("count", None, "user_category_count")]),
     ]
+    from rankfold.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(hist.sparkSession)
+    needed = dict.fromkeys(c for keys, spec in sets for c in (*keys, *[x for _, x, _ in spec if x]))
+    hist = hist.select(*needed).checkpoint(eager=True)  # read once for all key sets
     out = cand
     for keys, spec in sets:
         out = out.join(group_stats(hist, keys, spec), keys, "left")

@@ -55,6 +55,19 @@ def factorization_machine(features: list[str], label: str = "label", factor_size
                                                                factorSize=factor_size, seed=SEED)])
 
 
+def on_vectors(kind: str, label: str = "label", **options) -> Pipeline:
+    """``logistic`` (L4) or ``fm`` (L5) on a ready ``features`` vector, such as
+    the sparse one of ``field_encoder.field_vectors``."""
+    if kind == "logistic":
+        est = LogisticRegression(labelCol=label, featuresCol="features", regParam=options.get("reg", 0.0))
+    elif kind == "fm":
+        est = FMClassifier(labelCol=label, featuresCol="features", factorSize=options.get("factor_size", 8), stepSize=0.05,
+                           regParam=options.get("reg", 0.001), maxIter=options.get("max_iter", 100), seed=SEED)
+    else:
+        raise ValueError(kind)
+    return Pipeline(stages=[est])
+
+
 def mlp(features: list[str], label: str = "label", hidden: tuple[int, ...] = (16,)) -> Pipeline:
     """Feed-forward classifier."""
     layers = [len(features), *hidden, 2]

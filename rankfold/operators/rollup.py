@@ -107,7 +107,7 @@ def _merged(df: DataFrame, keys: list[str], keep: list[str], dense: Sequence[str
             F.sum(n).alias("n"), F.max(f"_mu_{c}").alias("mean"), F.sum(m2 + n * d * d).alias("m2"),
             F.sum(m3 + 3 * d * m2 + n * d * d * d).alias("m3"), F.min(f"{c}.min").alias("min"), F.max(f"{c}.max").alias("max"),
             F.min_by(f"{c}.first", "_from").alias("first"), F.max_by(f"{c}.last", "_to").alias("last")).alias(c))
-    return df.withColumns(middle).groupBy(*keys).agg(*aggs)
+    return (df.withColumns(middle) if middle else df).groupBy(*keys).agg(*aggs)
 
 
 def _statistics(r: Rollup, clock: str | None) -> list[Column]:
@@ -146,7 +146,7 @@ def rollup_tables(df: DataFrame, r: Rollup) -> DataFrame:
     source = df.select(
         *_key(df, r.pivot, "_p"), *[k for c in r.named_clocks for k in _key(df, c, f"_{c}")], F.struct(*r.order).alias("_order"),
         *[F.col(c).cast("double").alias(c) for c in r.dense],
-        F.array(*[F.col(c).cast("string") for c in r.distinct]).alias("_distinct"))
+        F.array(*[F.col(c).cast("string") for c in r.distinct]).cast("array<string>").alias("_distinct"))
 
     # States, merged from level to level.
     states = {r.base: _stored(source.groupBy(*base_keys, *coarse_cols).agg(
@@ -156,39 +156,49 @@ def rollup_tables(df: DataFrame, r: Rollup) -> DataFrame:
         keep = [x for c in _up(clock, r.clocks) for x in (f"_{c}", f"_{c}_null")]
         states[clock] = _stored(_merged(states[finer], _keys(clock), keep, r.dense), f"states-{clock}")
 
-    # Runs of values, merged from level to level.
-    long = source.select(*base_keys, *coarse_cols, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.col(c).alias("_v")) for i, c in enumerate(r.dense)])))
-    runs = {r.base: _stored(long.where("_v IS NOT NULL").groupBy(*base_keys, *coarse_cols, "_c", "_v")
-                            .agg(F.count(F.lit(1)).alias("_w")), "runs")}
-    seen = {r.base: _stored(source.select(*base_keys, *coarse_cols, F.posexplode("_distinct").alias("_c", "_v")).distinct(), "distinct")}
+    # Runs of values and distinct values, merged from level to level.
+    level = {c: i for i, (c, _) in enumerate(r.clocks)}
+    runs: dict[str | None, DataFrame] = {}
+    seen: dict[str | None, DataFrame] = {}
+    if r.dense:
+        long = source.select(*base_keys, *coarse_cols, F.inline(F.array(*[
+            F.struct(F.lit(i).alias("_c"), F.col(c).alias("_v")) for i, c in enumerate(r.dense)])))
+        runs[r.base] = _stored(long.where("_v IS NOT NULL").groupBy(*base_keys, *coarse_cols, "_c", "_v")
+                               .agg(F.count(F.lit(1)).alias("_w")), "runs")
+    if r.distinct:
+        seen[r.base] = _stored(source.select(*base_keys, *coarse_cols, F.posexplode("_distinct").alias("_c", "_v")).distinct(), "distinct")
     for clock, finer in r.clocks[1:]:
         keep = [x for c in _up(clock, r.clocks) for x in (f"_{c}", f"_{c}_null")]
-        runs[clock] = _stored(runs[finer].groupBy(*_keys(clock), *keep, "_c", "_v").agg(F.sum("_w").alias("_w")), f"runs-{clock}")
-        seen[clock] = _stored(seen[finer].select(*_keys(clock), *keep, "_c", "_v").distinct(), f"distinct-{clock}")
+        if r.dense:
+            runs[clock] = _stored(runs[finer].groupBy(*_keys(clock), *keep, "_c", "_v").agg(F.sum("_w").alias("_w")), f"runs-{clock}")
+        if r.distinct:
+            seen[clock] = _stored(seen[finer].select(*_keys(clock), *keep, "_c", "_v").distinct(), f"distinct-{clock}")
 
     # Medians of all levels in one selection: (level, pivot, clock, column) is the key.
-    level = {c: i for i, (c, _) in enumerate(r.clocks)}
-    flat = [runs[c].select(F.lit(i).alias("_level"), "_p", "_p_null", *(
-        [F.col(f"_{c}").cast("long").alias("_t"), F.col(f"_{c}_null").alias("_t_null")] if c else
-        [F.lit(0).cast("long").alias("_t"), F.lit(False).alias("_t_null")]), "_c", "_v", "_w") for c, i in level.items()]
-    medians = _stored(group_medians(reduce(DataFrame.union, flat), ["_level", "_p", "_p_null", "_t", "_t_null", "_c"],
-                                    "_v", "_w", "_m"), "medians")
+    medians = None
+    if r.dense:
+        flat = [runs[c].select(F.lit(i).alias("_level"), "_p", "_p_null", *(
+            [F.col(f"_{c}").cast("long").alias("_t"), F.col(f"_{c}_null").alias("_t_null")] if c else
+            [F.lit(0).cast("long").alias("_t"), F.lit(False).alias("_t_null")]), "_c", "_v", "_w") for c, i in level.items()]
+        medians = _stored(group_medians(reduce(DataFrame.union, flat), ["_level", "_p", "_p_null", "_t", "_t_null", "_c"],
+                                        "_v", "_w", "_m"), "medians")
 
     # A level's statistics, distinct counts and medians side by side.
     tables = {}
     for clock, i in level.items():
         keys = _keys(clock)
-        counts = seen[clock].groupBy(*keys).agg(*[
-            F.count(F.when(F.col("_c") == j, 1)).alias(r.name("nunique", c, clock)) for j, c in enumerate(r.distinct)])
-        mids = medians.where(F.col("_level") == i).select("_p", "_p_null", *(
-            [F.col("_t").cast(df.schema[clock].dataType).alias(f"_{clock}"), F.col("_t_null").alias(f"_{clock}_null")] if clock else []),
-            "_c", "_m").groupBy(*keys).agg(*[
-                F.max(F.when(F.col("_c") == j, F.col("_m"))).alias(r.name("median", c, clock)) for j, c in enumerate(r.dense)])
-        mine = states[clock].select(*keys, *(coarse_cols if clock == r.base else []), *_statistics(r, clock))
-        side = mine.join(mids, keys, "left").join(counts, keys, "left")
+        side = states[clock].select(*keys, *(coarse_cols if clock == r.base else []), *_statistics(r, clock))
+        if medians is not None:
+            mids = medians.where(F.col("_level") == i).select("_p", "_p_null", *(
+                [F.col("_t").cast(df.schema[clock].dataType).alias(f"_{clock}"), F.col("_t_null").alias(f"_{clock}_null")] if clock else []),
+                "_c", "_m").groupBy(*keys).agg(*[
+                    F.max(F.when(F.col("_c") == j, F.col("_m"))).alias(r.name("median", c, clock)) for j, c in enumerate(r.dense)])
+            side = side.join(mids, keys, "left")
+        if r.distinct:
+            side = side.join(seen[clock].groupBy(*keys).agg(*[
+                F.count(F.when(F.col("_c") == j, 1)).alias(r.name("nunique", c, clock)) for j, c in enumerate(r.distinct)]), keys, "left")
         extra = coarse_cols if clock == r.base else []
-        tables[clock] = side.select(*keys, *extra, F.struct(*[c for c in side.columns if c not in (*keys, *extra)]).alias(f"_level_{i}"))
+        tables[clock] = side.select(*keys, *extra, F.struct(*([c for c in side.columns if c not in (*keys, *extra)] or [F.lit(None).alias("_none")])).alias(f"_level_{i}"))
     wide = tables[r.base]
     for clock, _ in r.clocks[1:]:
         wide = wide.join(tables[clock], _keys(clock), "left")
@@ -215,5 +225,5 @@ def attach_rollups(df: DataFrame, rollups: Sequence[Rollup]) -> DataFrame:
     for r in rollups:
         keyed = rows.select("*", *_key(df, r.pivot, "_p"), *_key(df, r.base, f"_{r.base}"))
         levels = [f"_level_{i}.*" for i in range(len(r.clocks))]
-        rows = keyed.join(rollup_tables(source, r), _keys(r.base), "left").select(*rows.columns, *levels)
+        rows = keyed.join(rollup_tables(source, r), _keys(r.base), "left").select(*rows.columns, *levels).drop("_none")
     return rows

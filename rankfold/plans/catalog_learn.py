@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from rankfold.functions.scalar import duration_days, ntz_lit
 from rankfold.operators import learn as LN
+from rankfold.operators import ranking as R
+from rankfold.operators.field_encoder import field_vectors
+from rankfold.operators.listwise import fit_listwise
+from rankfold.plans import catalog_build
 from rankfold.plans.registry import query
 from rankfold.sources import staging as st
+from rankfold.streaming.stream_ops import stream_folder
 
 KEY = ["impression_id", "pos"]
 FEATURES = ["score_a", "score_c", "quantity", "total_inviews", "total_read_time", "view_days", "pos",
@@ -99,3 +104,48 @@ def q_model_select(spark, sf):
     rows = [(str({p.name: v for p, v in pm.items()}), float(m))
             for pm, m in zip(tvs.getEstimatorParamMaps(), tvs.validationMetrics)]
     return spark.createDataFrame(rows, "params string, auc double")
+
+
+@query("listwise_rank_scores")
+def q_listwise(spark, sf):
+    """Boosted trees on listwise gradients per impression (L2)."""
+    train, _, test = _splits(spark, sf)
+    model = fit_listwise(train, ["impression_id"], FEATURES, rounds=8, max_depth=4)
+    return _round(model.score(test, KEY))
+
+
+# Fields of the one-hot models; user and article ids are the large vocabularies.
+MODEL_FIELDS = ["user_id", "article_id", "brand", "part_type", "priority", "segment", "nation"]
+
+
+def encoded_splits(spark, sf):
+    """(encoder, train, test) with one sparse vector of all fields."""
+    rows = catalog_build.field_rows(spark, sf).select(*KEY, "split", "label", "price", *MODEL_FIELDS)
+    train = rows.where(F.col("split") == "train")
+    encoder = catalog_build.FieldEncoder(keyCols=KEY, categorical=MODEL_FIELDS, numeric=["price"], minCount=2).fit(train)
+    vectors = [field_vectors(encoder.transform(part), encoder, ["price"]) for part in (train, rows.where(F.col("split") == "test"))]
+    return encoder, vectors[0], vectors[1]
+
+
+@query("lr_field_scores")
+def q_lr_fields(spark, sf):
+    """Logistic regression on seven one-hot fields and a number (L4)."""
+    _, train, test = encoded_splits(spark, sf)
+    return _round(LN.score(LN.on_vectors("logistic", reg=0.01).fit(train), test, KEY))
+
+
+@query("fm_field_scores")
+def q_fm_fields(spark, sf):
+    """Factorization machine on the same fields."""
+    _, train, test = encoded_splits(spark, sf)
+    return _round(LN.score(LN.on_vectors("fm", factor_size=4, max_iter=30).fit(train), test, KEY))
+
+
+@query("model_submission")
+def q_model_submission(spark, sf):
+    """From a model's scores to the written submission, read back."""
+    train, _, test = _splits(spark, sf)
+    scores = LN.score(LN.gbt(FEATURES, max_depth=3, max_iter=5).fit(train), test, [*KEY, "user_id"])
+    path = stream_folder(spark, "model-submission")
+    R.write_submission(R.submission_lines(R.rank_lists(scores)), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rankfold.functions.scalar import duration_seconds, with_time_features
 from rankfold.operators import boundary as B
+from rankfold.operators.features import COUNT_KEY_SETS, count_features
 from rankfold.operators.rollup import Rollup, attach_rollups, rollup_names
 from rankfold.plans.catalog_features import INT_KINDS, stats_sql
 from rankfold.plans.oracle import ART, EV, dur_s, epoch_s, with_
@@ -105,6 +106,17 @@ for _p in ("user_id", "article_id"):
     _register_rollup(_p)
 
 
+_COUNT_SETS = [(keys, [("count", None, name)]) for name, keys in COUNT_KEY_SETS]
+
+
+@query("counts_rollup", stats_sql(WIDE, "wide", ["event_id"], _COUNT_SETS))
+def q_counts_rollup(spark, sf):
+    """All twelve count windows (W6), counted per (entity, second) and merged up."""
+    rows = wide_base(spark, sf).select("event_id", "impression_time", *dict.fromkeys(c for _, k in COUNT_KEY_SETS for c in k))
+    out = count_features(rows, form="rollup", order=["impression_time", "event_id"])
+    return out.select("event_id", *[F.col(n).cast("long").alias(n) for n, _ in COUNT_KEY_SETS])
+
+
 # ------------------------------------- gaps and rolling means over them --
 
 GAPS = ["article_before", "article_after", "user_article_before", "user_article_after"]

@@ -46,3 +46,37 @@ def test_watermark_drops_late_rows_and_state_spans_batches(spark, tmp_path):
     g = {r.event_id: r.user_before for r in spark.sql("SELECT * FROM gaps").collect()}
     assert g[10] == 600 and g[0] is None
     assert len(g) == len(first) + len(late) + len(later)
+
+
+def test_late_rows_are_put_in_order_and_idle_state_goes(spark, tmp_path):
+    from rankfold.streaming import stateful
+    src, t0 = str(tmp_path / "src"), datetime(2024, 1, 1)
+    batches = [
+        [(1, t0, 1), (3, t0 + timedelta(minutes=20), 1), (4, t0 + timedelta(minutes=1), 2)],
+        [(2, t0 + timedelta(minutes=5), 1), (5, t0 + timedelta(minutes=30), 1)],  # event 2 is late
+        [(6, t0 + timedelta(days=30), 3)],                                        # time moves on; users 1 and 2 idle
+        [(7, t0 + timedelta(days=30, minutes=1), 1), (8, t0 + timedelta(days=30, minutes=2), 3)]]
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    with stateful.rocksdb(spark):
+        out = stateful.run_versions(stateful.ordered_gaps(stream, "ts", lateness="1 hour", idle="2 days"), "late")
+    got = {r["event_id"]: r["user_before"] for r in stateful.latest(spark, out, ["event_id"], stateful.GAP_ROWS).collect()}
+    assert got[1] is None and got[2] == 300 and got[3] == 900 and got[5] == 600 and got[8] == 120
+    assert got[6] is None and got[4] is None
+    assert got[7] is None  # the state of user 1 expired
+    versions = spark.read.parquet(out).where("event_id = 3").count()
+    assert versions == 2  # given out again after the late row
+
+
+def test_open_windows_are_upserted(spark, tmp_path):
+    from rankfold.streaming import stateful
+    src, t0 = str(tmp_path / "src"), datetime(2024, 1, 1)
+    for rows in ([(1, t0, 1), (2, t0 + timedelta(seconds=90), 1)], [(3, t0 + timedelta(seconds=30), 1)]):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+              .withColumn("ts", F.timestamp_micros(epoch_micros("ts"))))
+    out = stateful.upsert_windows(stream, "ts", ["user_id"], "1 minute", "1 hour", "upsert")
+    minutes = stateful.latest(spark, out, ["window_us", "user_id"], "window_us long, user_id long, n long")
+    assert sorted(r["n"] for r in minutes.collect()) == [1, 2]
+    assert stateful.roll_up(minutes, ["user_id"], 3600).first()["n"] == 3
