@@ -219,8 +219,11 @@ def collocations(docs: DataFrame, top: int = 2000, min_count: int = 30, cover: i
               .groupBy("lang", "ids").agg(F.max("f").alias("longer")))
     kept = (weakest.select("lang", "ids", "cut.*").join(longer, ["lang", "ids"], "left")
             .where(F.col("longer").isNull() | (100 * wide("longer") < cover * wide("a"))))
-    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    kept = stored(kept.withColumn("place", F.rank().over(first)).where(F.col("place") <= top).drop("place", "longer", "k"), "kept")
+    # Two levels, so that a language's phrases are not ranked by one task.
+    for split in (["lang", F.pmod(F.xxhash64("ids"), F.lit(64))], ["lang"]):
+        first = Window.partitionBy(*split).orderBy(F.desc("score"), F.desc("a"))
+        kept = kept.withColumn("place", F.rank().over(first)).where(F.col("place") <= top).drop("place", "longer", "k")
+    kept = stored(kept, "kept")
     spelt = (kept.select("lang", "ids", F.posexplode("ids").alias("at", "id")).join(frequent.select("lang", "id", "word"), ["lang", "id"])
              .groupBy("lang", "ids").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
              .select("lang", "ids", F.array_join("words.word", " ").alias("phrase")))
