@@ -182,8 +182,8 @@ def field_vectors(encoded: DataFrame, model: FieldEncoderModel, numeric: Sequenc
     # The encoder learns its slots from a schema-sized table of each field's largest id.
     top = encoded.sparkSession.createDataFrame([tuple(float(s - 1) for s in slots.values())], ", ".join(f"`_id_{c}` double" for c in cats))
     ids = encoded.withColumns({f"_id_{c}": F.col(c).cast("double") for c in cats}
-                              | {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
+                              | {f"_num_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
     hot = OneHotEncoder(inputCols=[f"_id_{c}" for c in cats], outputCols=[f"_hot_{c}" for c in cats], dropLast=False).fit(top)
     rows = hot.transform(ids)
-    return VectorAssembler(inputCols=[*[f"_hot_{c}" for c in cats], *numeric], outputCol=out).transform(rows).drop(
-        *[f"_id_{c}" for c in cats], *[f"_hot_{c}" for c in cats])
+    return VectorAssembler(inputCols=[*[f"_hot_{c}" for c in cats], *[f"_num_{c}" for c in numeric]], outputCol=out).transform(
+        rows).drop(*[f"_id_{c}" for c in cats], *[f"_hot_{c}" for c in cats], *[f"_num_{c}" for c in numeric])

@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (FMClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
@@ -37,16 +37,10 @@ def gbt(features: list[str], label: str = "label", max_depth: int = 5, max_iter:
     return Pipeline(stages=[_assembler(features), clf])
 
 
-def logistic(features: list[str], label: str = "label", one_hot: list[str] | None = None,
-             reg: float = 0.0) -> Pipeline:
-    """Logistic regression, categorical fields one-hot encoded (L4)."""
-    stages, cols = [], list(features)
-    for c in one_hot or []:
-        stages += [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"),
-                   OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__oh", handleInvalid="keep")]
-        cols.append(f"{c}__oh")
-    stages += [_assembler(cols), LogisticRegression(labelCol=label, featuresCol="features", regParam=reg)]
-    return Pipeline(stages=stages)
+def logistic(features: list[str], label: str = "label", reg: float = 0.0) -> Pipeline:
+    """Logistic regression on numeric columns; one-hot fields come as a ready
+    vector (``on_vectors``, L4)."""
+    return Pipeline(stages=[_assembler(features), LogisticRegression(labelCol=label, featuresCol="features", regParam=reg)])
 
 
 def factorization_machine(features: list[str], label: str = "label", factor_size: int = 8) -> Pipeline:

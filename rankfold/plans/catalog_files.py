@@ -119,10 +119,10 @@ def q_score_export(spark, sf):
 
 @query("keyed_concat", """
 SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, l.quality, d.n_chars
-FROM labels l FULL JOIN (SELECT doc_id, n_chars FROM documents WHERE n_chars > 500) d ON l.doc_id = d.doc_id""")
+FROM labels l FULL JOIN documents d ON l.doc_id = d.doc_id""")
 def q_keyed_concat(spark, sf):
     """Feature frames side by side by key (J8); a missing key gives nulls."""
-    d = st.table(spark, sf, "documents").where("n_chars > 500").select("doc_id", "n_chars")
+    d = st.table(spark, sf, "documents").select("doc_id", "n_chars")
     return concat_by_key([st.table(spark, sf, "labels").select("doc_id", "quality"), d], ["doc_id"])
 
 
@@ -185,10 +185,18 @@ def q_preprocess_hook(spark, sf):
     return FM.remap_false_ids(o, "raw_id").select("o_orderkey", "doubled", "copied", "raw_id")
 
 
-@query("narrowed_rows", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+_NARROW = """CASE WHEN min({0}) > -128 AND max({0}) < 127 THEN 'tinyint' WHEN min({0}) > -32768 AND max({0}) < 32767 THEN 'smallint'
+  WHEN min({0}) > -2147483648 AND max({0}) < 2147483647 THEN 'int' ELSE 'bigint' END"""
+
+
+@query("narrowed_rows", f"""
+WITH t AS (SELECT {_NARROW.format('l_orderkey')} AS key_type, {_NARROW.format('l_linenumber')} AS line_type FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_quantity, key_type, line_type FROM lineitem, t""")
 def q_narrowed_rows(spark, sf):
-    """Columns cast to the smallest type that holds them (P18), values kept."""
+    """Columns cast to the smallest type that holds them (P18), values kept;
+    the types are those of the narrowed columns."""
     li = st.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     types = dict(li.dtypes)
     n = FM.narrow(li)
-    return n.select(*[F.col(c).cast(types[c]).alias(c) for c in li.columns])
+    return n.select(*[F.col(c).cast(types[c]).alias(c) for c in li.columns], F.typeof("l_orderkey").alias("key_type"),
+                    F.typeof("l_linenumber").alias("line_type"))

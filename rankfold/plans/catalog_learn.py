@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rankfold.functions.scalar import duration_days, ntz_lit
 from rankfold.operators import learn as LN
 from rankfold.operators import ranking as R
-from rankfold.operators.field_encoder import field_vectors
+from rankfold.operators.field_encoder import FieldEncoder, field_vectors
 from rankfold.operators.listwise import fit_listwise
 from rankfold.plans import catalog_build
 from rankfold.plans.registry import query
@@ -78,9 +78,11 @@ def q_stacked(spark, sf):
 
 @query("lr_scores")
 def q_lr(spark, sf):
+    """Numbers and the one-hot article type."""
     train, _, test = _splits(spark, sf)
-    m = LN.logistic(FEATURES, one_hot=["article_type"]).fit(train)
-    return _round(LN.score(m, test, KEY))
+    enc = FieldEncoder(keyCols=KEY, categorical=["article_type"]).fit(train)
+    train, test = (field_vectors(enc.transform(part), enc, FEATURES) for part in (train, test))
+    return _round(LN.score(LN.on_vectors("logistic").fit(train), test, KEY))
 
 
 @query("fm_scores")
@@ -122,7 +124,7 @@ def encoded_splits(spark, sf):
     """(encoder, train, test) with one sparse vector of all fields."""
     rows = catalog_build.field_rows(spark, sf).select(*KEY, "split", "label", "price", *MODEL_FIELDS)
     train = rows.where(F.col("split") == "train")
-    encoder = catalog_build.FieldEncoder(keyCols=KEY, categorical=MODEL_FIELDS, numeric=["price"], minCount=2).fit(train)
+    encoder = FieldEncoder(keyCols=KEY, categorical=MODEL_FIELDS, numeric=["price"], minCount=2).fit(train)
     vectors = [field_vectors(encoder.transform(part), encoder, ["price"]) for part in (train, rows.where(F.col("split") == "test"))]
     return encoder, vectors[0], vectors[1]
 
