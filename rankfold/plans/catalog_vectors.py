@@ -44,7 +44,7 @@ def _user_vectors(spark, sf):
 , nz AS (SELECT article_id, CASE WHEN list_sum(v) <> 0 THEN 1.0 ELSE 0.0 END AS nzf FROM vec),
 u AS (SELECT ev.user_id, vd.d, sum(vd.x) AS s, sum(nz.nzf) AS n
       FROM ev JOIN vd ON ev.article_id = vd.article_id JOIN nz ON ev.article_id = nz.article_id GROUP BY 1, 2)
-SELECT user_id, list(round(s / (n + 1e-12), 6) ORDER BY d) AS pooled FROM u GROUP BY user_id""")
+SELECT user_id, list(round(s / (n + 1e-12), 6) + 0.0 ORDER BY d) AS pooled FROM u GROUP BY user_id""")
 def q_avg_pool(spark, sf):
     p = V.pool_vectors(_user_vectors(spark, sf), ["user_id"], "embedding", "mean")
     return p.select("user_id", rv("pooled").alias("pooled"))
@@ -61,22 +61,22 @@ def q_sum_pool(spark, sf):
 @query("fm_interaction", with_(EV, VEC_DIMS) + """
 , u AS (SELECT ev.user_id, vd.d, 0.5 * (sum(vd.x) * sum(vd.x) - sum(vd.x * vd.x)) AS bi
         FROM ev JOIN vd ON ev.article_id = vd.article_id GROUP BY 1, 2)
-SELECT user_id, list(round(bi, 6) ORDER BY d) AS bi_interaction, round(sum(bi), 6) AS product_sum
+SELECT user_id, list(round(bi, 6) + 0.0 ORDER BY d) AS bi_interaction, round(sum(bi), 6) + 0.0 AS product_sum
 FROM u GROUP BY user_id""")
 def q_fm_interaction(spark, sf):
     g = V.fm_group_interaction(_user_vectors(spark, sf), ["user_id"], "embedding")
     return g.select("user_id", rv("bi_interaction").alias("bi_interaction"),
-                    F.round("product_sum", 6).alias("product_sum"))
+                    (F.round("product_sum", 6) + 0.0).alias("product_sum"))
 
 
 def _pair_sql():
     sl = lambda i: f"v[{i * FIELD_W + 1}:{(i + 1) * FIELD_W}]"
-    dots = [f"round(list_dot_product({sl(i)}, {sl(j)}), 6)"
+    dots = [f"round(list_dot_product({sl(i)}, {sl(j)}), 6) + 0.0"
             for i in range(N_FIELDS) for j in range(i + 1, N_FIELDS)]
     bis = (f"list_transform(range(1, {FIELD_W + 1}), lambda k: round(0.5 * ("
            + " + ".join(f"{sl(i)}[k]" for i in range(N_FIELDS)) + ") * ("
            + " + ".join(f"{sl(i)}[k]" for i in range(N_FIELDS)) + ") - 0.5 * ("
-           + " + ".join(f"{sl(i)}[k] * {sl(i)}[k]" for i in range(N_FIELDS)) + "), 6))")
+           + " + ".join(f"{sl(i)}[k] * {sl(i)}[k]" for i in range(N_FIELDS)) + "), 6) + 0.0)")
     return with_(VEC) + f"SELECT article_id, [{', '.join(dots)}] AS inner_products, {bis} AS bi_fields FROM vec"
 
 
@@ -108,7 +108,7 @@ pairs AS (SELECT DISTINCT user_id, article_id FROM ev),
 sc AS (SELECT p.user_id, p.article_id, list_dot_product(uv.uvec, vec.v) AS score
        FROM pairs p JOIN uv ON p.user_id = uv.user_id JOIN vec ON p.article_id = vec.article_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, article_id) AS rank FROM sc)
-SELECT user_id, CAST(rank AS INTEGER) AS rank, article_id, round(score, 6) AS score FROM r WHERE rank <= 3""")
+SELECT user_id, CAST(rank AS INTEGER) AS rank, article_id, round(score, 6) + 0.0 AS score FROM r WHERE rank <= 3""")
 def q_dot_topk(spark, sf):
     uv = _user_vectors(spark, sf)
     users = V.pool_vectors(uv, ["user_id"], "embedding", "mean", out="uvec")
@@ -118,7 +118,7 @@ def q_dot_topk(spark, sf):
           .withColumn("score", V.dot("uvec", "embedding")))
     top = V.topk_per_group(sc.select("user_id", "article_id", "score"), ["user_id"],
                            [F.col("score").desc(), F.col("article_id").asc()], 3)
-    return top.select("user_id", "rank", "article_id", F.round("score", 6).alias("score"))
+    return top.select("user_id", "rank", "article_id", (F.round("score", 6) + 0.0).alias("score"))
 
 
 # ----------------------------------------------------------------- LSH --
