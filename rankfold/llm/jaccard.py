@@ -18,8 +18,8 @@ bits a shingle for a bound that is quick to test.
    stays right.  What then still meets in large groups are near copies.
 3. Every member of a group meets the group's smallest member first; candidates
    pass the folded bound and are verified on their whole sets.  Members that
-   are connected by then need no other comparison; the rest of a group is
-   compared in blocks by the folded bound, and verified.
+   these links connect within two steps need no other comparison; the rest of a
+   group is compared in blocks by the folded bound, and verified.
 4. Classes of equal sets are one node; components run over the links.
 
 Edge cases: a null text has no words; texts without words have no shingle and
@@ -34,14 +34,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm.bitmaps import bitmap, holds, mix
 from rankfold.llm.components import components
-from rankfold.llm.lexical import runs
 from rankfold.llm.store import stored
 
 SHINGLE_WORDS, PERCENT, SEED = 5, 80, 42
@@ -49,45 +48,65 @@ GROUP_LIMIT = 256  # texts that share a chunk value before it is demoted
 ROUNDS = 2  # orders after the first
 BLOCK = 512  # members compared by one task at once
 LOWEST_BAND_CHUNKS = 1 << 16
-KNOWN_WORDS = 1_000_000
-
-_TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
-_ONE = np.uint64(1)
-
-
-class _Words(dict):
-    """Word -> 64-bit hash, of the words met lately."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        h = self[word] = xxh64_intdigest(word, SEED)
-        return h
-
-
-def shingles(text: bytes, known: dict, words: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles."""
-    parts = []
-    for run in runs(text, _TABLE):
-        found = run.split()
-        parts.append(np.fromiter(map(known.__getitem__, found), np.uint64, len(found)))
-    h = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-    if not len(h):
-        return h
-    size = min(words, len(h))
+KNOWN_SETS = 1_000_000
+
+RUN_BYTES = 16 << 20  # of text at once
+
+_ALL = (1 << 64) - 1
+_FACTOR = np.uint64(0x9E3779B97F4A7C17)
+# Stands for "a set has too few chunks"; two classes, so that it is seen.
+TOO_FEW = -(1 << 63)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, offsets of the texts in them); only A-Z are
+    lower-cased, and words end at ASCII white space."""
+    from xxhash import xxh64_digest
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    coded = lists.values.slice(int(ends[0]), int(ends[-1] - ends[0])).dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    table = np.frombuffer(b"".join([xxh64_digest(w, SEED) for w in words]), ">u8").astype(np.uint64)
+    at = coded.indices.to_numpy()
+    ends = ends - ends[0]
+    if b"" in words:  # white space at a text's start or end
+        real = at != words.index(b"")
+        ends = np.concatenate([[0], np.cumsum(real)])[ends]
+        at = at[real]
+    return table[at], ends
+
+
+def _chain(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of ``size`` words."""
     x = np.full(len(h) - size + 1, size, np.uint64)
     for i in range(size):
-        x = mix(x * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - size + 1 + i])
-    return np.unique(x)
+        x = x * _FACTOR + h[i:len(h) - size + 1 + i]
+    return mix(x)
+
+
+def shingle_sets(texts: pa.Array, words: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the word shingles of every text."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy()
+    at = 0
+    while at < len(texts):
+        total = np.cumsum(sizes[at:at + 1024])
+        end = at + max(1, int(np.searchsorted(total, RUN_BYTES, "right")))  # a longer text alone
+        h, ends = word_hashes(texts.slice(at, end - at))
+        at = end
+        x = _chain(h, words) if len(h) >= words else h
+        for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            if hi - lo < words:
+                yield _chain(h[lo:hi], hi - lo) if hi > lo else h[:0]
+                continue
+            t = np.sort(x[lo:hi - words + 1])
+            yield t[np.concatenate([[True], t[1:] != t[:-1]])]
 
 
 def name_of(tokens: np.ndarray) -> tuple[int, int]:
     """Two 64-bit names of a set; the second only checks the first."""
-    a = np.bitwise_xor.reduce(mix(tokens))
-    b = np.add.reduce(mix(tokens ^ np.uint64(0x5851F42D4C957F2D)))
-    named = mix(np.array([a + np.uint64(len(tokens)), a ^ b], np.uint64) + np.array([b, 1], np.uint64))
-    return int(named.view(np.int64)[0]), int(named.view(np.int64)[1])
+    a, b, n = int(np.bitwise_xor.reduce(tokens)), int(np.add.reduce(tokens)), len(tokens)
+    named = mix(np.array([(a + 3 * b + n) & _ALL, (a ^ (b >> 1) ^ (b << 63)) & _ALL], np.uint64)).view(np.int64)
+    return int(named[0]), int(named[1])
 
 
 def folded(tokens: np.ndarray) -> bytes:
@@ -118,7 +137,7 @@ def chunk_values(tokens: np.ndarray, band: int, seed: int) -> np.ndarray:
     x = np.sort(mix(tokens + np.uint64(seed))) if seed else tokens
     chunk = x >> np.uint64(64 - bits)
     first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
-    value = np.bitwise_xor.reduceat(mix(x), first)
+    value = np.bitwise_xor.reduceat(x, first)
     return mix(value + mix(chunk[first] + np.uint64(band << 56)))
 
 
@@ -133,22 +152,19 @@ def schemes(n: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     return out
 
 
-def _describe(words: int, percent: int, seed: int):
+def _describe(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
         for b in batches:
             out = []
-            for text in b.column(2).to_pylist():
-                t = shingles(text or b"", known, words)
+            for t in shingle_sets(b.column(2), words):
                 if not len(t):
-                    out.append((0, None, None, None, False))
+                    out.append((0, None, None, None))
                     continue
-                short = any(len(chunk_values(t, band, seed)) <= most for band, most in schemes(len(t), percent))
-                out.append((len(t), *name_of(t), folded(t), short))
-            n, name, check, sketch, short = zip(*out) if out else ([],) * 5
+                out.append((len(t), *name_of(t), folded(t)))
+            n, name, check, sketch = zip(*out) if out else ([],) * 4
             yield pa.record_batch([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(name, pa.int64()),
-                                   pa.array(check, pa.int64()), pa.array(sketch, pa.binary()), pa.array(short, pa.bool_())],
-                                  names=["doc_id", "row", "n", "class", "checksum", "sketch", "short"])
+                                   pa.array(check, pa.int64()), pa.array(sketch, pa.binary())],
+                                  names=["doc_id", "row", "n", "class", "checksum", "sketch"])
 
     return run
 
@@ -156,23 +172,25 @@ def _describe(words: int, percent: int, seed: int):
 def _keys(words: int, percent: int, seed: int, rows=None, demoted=None):
     """(key, class) of each text's first chunks; of the ``rows`` marked, if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = _Words(), set()
+        seen: set[int] = set()
         for b in batches:
             wanted = np.arange(b.num_rows) if rows is None else np.flatnonzero(
                 holds(rows.value, b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
             keys, classes = [], []
-            for text in b.column(2).take(pa.array(wanted)).to_pylist():
-                t = shingles(text or b"", known, words)
+            for t in shingle_sets(b.column(2).take(pa.array(wanted)), words):
                 if not len(t):
                     continue
                 name = name_of(t)[0]
                 if name in seen:
                     continue
-                if len(seen) >= KNOWN_WORDS:
+                if len(seen) >= KNOWN_SETS:
                     seen.clear()
                 seen.add(name)
                 for band, most in schemes(len(t), percent):
                     value = chunk_values(t, band, seed)
+                    if len(value) <= most:
+                        keys.append(np.array([TOO_FEW, TOO_FEW], np.int64).view(np.uint64))
+                        classes.append(np.array([0, 1]))
                     if demoted is not None:
                         hot = holds(demoted.value, value)
                         value = value[np.lexsort((value, hot))[:most + 1]]
@@ -255,12 +273,11 @@ def _plausible(percent: int):
 
 def _sets(words: int, rows):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
         for b in batches:
             wanted = np.flatnonzero(holds(rows.value, b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
             for at in range(0, len(wanted), 256):
                 part = pa.array(wanted[at:at + 256])
-                tokens = [shingles(t or b"", known, words).tobytes() for t in b.column(2).take(part).to_pylist()]
+                tokens = [t.tobytes() for t in shingle_sets(b.column(2).take(part), words)]
                 yield pa.record_batch([b.column(1).take(part), pa.array(tokens, pa.binary())], names=["row", "tokens"])
 
     return run
@@ -281,29 +298,58 @@ def _verify(percent: int):
 
 
 def _compare(percent: int):
-    """Pairs of one group (or of two of its blocks) in different components
-    that the folded bound lets through."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n", kind="stable")
-        n, cls, comp, pivot = (pdf[c].to_numpy(np.int64) for c in ("n", "class", "comp", "pivot"))
-        mine, i, j = (pdf[c].to_numpy(np.int64) for c in ("block", "i", "j"))
-        size = min(map(len, pdf["sketch"]))
-        sketch = np.frombuffer(b"".join(refold(s, size) for s in pdf["sketch"]), np.uint64).reshape(len(n), -1)
-        cross = i[0] != j[0]
-        out = [], []
-        for at in range(len(n) - 1):
-            end = int(np.searchsorted(n, n[at] * 100 // percent, "right"))
-            to = slice(at + 1, end)
-            ok = (comp[to] != comp[at]) & (cls[to] != pivot[at]) & (cls[at] != pivot[at])
-            if cross:
-                ok &= mine[to] != mine[at]
-            to = np.flatnonzero(ok) + at + 1
-            if len(to):
-                ham = np.bitwise_count(sketch[to] ^ sketch[at]).sum(axis=1, dtype=np.int64)
-                to = to[ham <= (n[to] + n[at]) * (100 - percent) // (100 + percent)]
-                out[0].append(np.minimum(cls[to], cls[at]))
-                out[1].append(np.maximum(cls[to], cls[at]))
-        return pd.DataFrame({"a": np.concatenate([*out[0], np.empty(0, np.int64)]), "b": np.concatenate([*out[1], np.empty(0, np.int64)])})
+    """Rows sorted by group (key, i, j) -> pairs of a group's members, in
+    different components, that the folded bound lets through; none with the
+    pivot, which has met them all.  A group has two blocks at most."""
+    def pairs(n, cls, comp, pivot, block, cross, sketches):
+        order = np.argsort(n, kind="stable")
+        n, cls, comp, pivot, block = n[order], cls[order], comp[order], pivot[order], block[order]
+        reach = np.searchsorted(n, n * 100 // percent, "right")  # largest partner of each member
+        count = np.maximum(reach - np.arange(len(n)) - 1, 0)
+        x = np.repeat(np.arange(len(n)), count)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
+        ok = (comp[x] != comp[y]) & (cls[x] != pivot[x]) & (cls[y] != pivot[y])
+        if cross:
+            ok &= block[x] != block[y]
+        x, y = x[ok], y[ok]
+        if not len(x):
+            return x, y
+        size = min(map(len, sketches))
+        bits = np.frombuffer(b"".join(refold(sketches[k], size) for k in order.tolist()), np.uint64).reshape(len(n), -1)
+        near = []
+        for at in range(0, len(x), 16_384):
+            to = slice(at, at + 16_384)
+            ham = np.bitwise_count(bits[x[to]] ^ bits[y[to]]).sum(axis=1, dtype=np.int64)
+            near.append(ham <= (n[x[to]] + n[y[to]]) * (100 - percent) // (100 + percent))
+        near = np.concatenate(near)
+        a, b = cls[x[near]], cls[y[near]]
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, stop = None, object()
+        source = iter(batches)
+        while True:
+            b = next(source, stop)
+            if b is not stop:
+                held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            if held is None:
+                return
+            key, i, j, block, cls, pivot, comp, n = (held.column(c).to_numpy() for c in range(8))
+            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+            if b is not stop and len(first) < 2:
+                continue
+            ends = np.append(first[1:], len(key))
+            whole = len(first) if b is stop else len(first) - 1
+            sketches = held.column(8).to_pylist()
+            out = [(np.empty(0, np.int64),) * 2]
+            for lo, hi in zip(first[:whole].tolist(), ends[:whole].tolist()):
+                to = slice(lo, hi)
+                out.append(pairs(n[to], cls[to], comp[to], pivot[to], block[to], i[lo] != j[lo], sketches[to]))
+            found = np.unique(np.stack([np.concatenate([o[c] for o in out]) for c in (0, 1)], axis=1), axis=0)
+            yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+            if b is stop:
+                return
+            held = held.slice(int(first[-1]))
 
     return run
 
@@ -315,27 +361,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sc = docs.sparkSession.sparkContext
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), text).alias("row"),
-                        text.cast("binary").alias("text"))
-    seed = 0
-    while True:
-        rows = stored(texts.mapInArrow(_describe(words, percent, seed),
-                                       "doc_id long, row long, n long, class long, checksum long, sketch binary, short boolean"), "sets")
-        if not rows.where("short").head(1):
-            break
-        seed += 1  # too few chunks of some set to tell: cut all sets anew
+                        text.alias("text"))
+    rows = stored(texts.mapInArrow(_describe(words), "doc_id long, row long, n long, class long, checksum long, sketch binary"), "sets")
     classes = stored(rows.where("n > 0").groupBy("class").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
         F.min("checksum").alias("low"), F.max("checksum").alias("high")), "classes")
     if classes.where("low <> high").head(1):
         raise ValueError("two sets share a 64-bit name")
 
-    def groups(marked, demoted) -> DataFrame:
+    def groups(seed, marked, demoted) -> DataFrame:
         keys = texts.mapInArrow(_keys(words, percent, seed, marked, demoted), "key long, class long")
         return stored(keys.repartition("key").sortWithinPartitions("key", "class").mapInArrow(
             _shared(GROUP_LIMIT), "key long, class long, pivot long, large boolean"), "groups")
 
-    held = [groups(None, None)]
-    hot = None
+    seed, first = 0, groups(0, None, None)
+    while first.where(F.col("key") == TOO_FEW).head(1):  # too few chunks of some set to tell: cut all sets anew
+        seed += 1
+        first = groups(seed, None, None)
+    held, hot = [first], None
     for _ in range(ROUNDS):
         large = held[-1].where("large")
         if not large.head(1):
@@ -344,35 +387,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         marked = sc.broadcast(bitmap(classes.join(large.select("class").distinct(), "class", "left_semi"), "row"))
         demoted = sc.broadcast(bitmap(hot, "key"))
         held[-1] = held[-1].where("not large")
-        held.append(groups(marked, demoted))
+        held.append(groups(seed, marked, demoted))
         for shared in (marked, demoted):
             shared.destroy()
     met = held[0]
     for more in held[1:]:
         met = met.union(more)
 
-    # The sets of all texts that met another one.
-    wanted = classes.join(met.select("class").distinct(), "class", "left_semi")
-    marked = sc.broadcast(bitmap(wanted, "row"))
-    sets = texts.mapInArrow(_sets(words, marked), "row long, tokens binary")
-    sets = stored(sets.join(wanted.select("row", "class"), "row").dropDuplicates(["class"]).select("class", "tokens"), "tokens")
-    marked.destroy()
     facts = classes.select("class", "n", "sketch")
 
     def side(table: DataFrame, s: str) -> DataFrame:
         return table.select(F.col("class").alias(s), *[F.col(c).alias(s + c) for c in table.columns if c != "class"])
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        likely = (pairs.join(side(facts, "a"), "a").join(side(facts, "b"), "b").select("a", "b", "an", "bn", "asketch", "bsketch")
-                  .mapInArrow(_plausible(percent), "a long, b long"))
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs that the folded bound lets through and whose whole sets
+        link; only the sets of their texts are made."""
+        likely = stored(pairs.join(side(facts, "a"), "a").join(side(facts, "b"), "b").select("a", "b", "an", "bn", "asketch", "bsketch")
+                        .mapInArrow(_plausible(percent), "a long, b long"), f"likely-{name}")
+        wanted = classes.join(likely.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class", "left_semi")
+        marked = sc.broadcast(bitmap(wanted, "row"))
+        sets = texts.mapInArrow(_sets(words, marked), "row long, tokens binary")
+        sets = stored(sets.join(wanted.select("row", "class"), "row").dropDuplicates(["class"]).select("class", "tokens"), f"tokens-{name}")
+        marked.destroy()
         return stored(likely.join(side(sets, "a"), "a").join(side(sets, "b"), "b").select("a", "b", "atokens", "btokens")
-                      .mapInArrow(_verify(percent), "a long, b long"), "links")
-
-    links = linked(met.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct())
-    nodes = components(links)
-    # Groups that are not connected yet; groups of the same members once.
-    label = met.join(nodes.select(F.col("node").alias("class"), "root"), "class", "left").select(
-        "key", "class", "pivot", F.coalesce("root", "class").alias("comp"))
+                      .mapInArrow(_verify(percent), "a long, b long"), f"links-{name}")
+
+    links = linked(met.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct(), "first")
+    # Groups that are not known to be connected; groups of the same members once.
+    # A text's label is its smallest neighbour's smallest neighbour: two cheap
+    # steps connect most of a family, and what they miss is only compared in vain.
+    both = links.union(links.select("b", "a"))
+    low = both.groupBy(F.col("a").alias("class")).agg(F.least(F.min("a"), F.min("b")).alias("one"))
+    twice = low.join(low.select(F.col("class").alias("one"), F.col("one").alias("two")), "one").select(
+        "class", F.least("one", "two").alias("root"))
+    label = met.join(twice, "class", "left").select("key", "class", "pivot", F.coalesce("root", "class").alias("comp"))
     label = stored(label, "labels")
     hashed = F.xxhash64("class").cast("decimal(20,0)")
     open_groups = (label.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
@@ -384,10 +432,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "class", "pivot",
                        "comp", "n", "sketch"))
-    pairs = members.groupBy("key", "i", "j").applyInPandas(_compare(percent), "a long, b long").distinct()
-    links = links.union(linked(pairs))
-
-    nodes = components(links).select(F.col("node").alias("class"), "root")
+    pairs = (members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+             .mapInArrow(_compare(percent), "a long, b long").distinct())
+    nodes = components(links.union(linked(pairs, "rest"))).select(F.col("node").alias("class"), "root")
     rooted = classes.select("class", "doc_id").join(nodes, "class", "left").withColumn("root", F.coalesce("root", "class"))
     first = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(first, "root").select("class", "component_id")
