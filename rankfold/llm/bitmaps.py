@@ -20,7 +20,7 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     rows = keys.select(F.shiftright(place, _CHUNK_BITS).alias("chunk"), place.bitwiseAND(F.lit((1 << _CHUNK_BITS) - 1)).alias("bit"))
     out = np.zeros((1 << bits) >> 3, np.uint8)
     size = (1 << _CHUNK_BITS) >> 3
-    for r in rows.groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("data")).toLocalIterator():  # 2^11 rows at most
+    for r in rows.groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("data")).collect():  # 2^11 rows of 4 KB at most; one job
         out[r["chunk"] * size:(r["chunk"] + 1) * size] = np.frombuffer(r["data"], np.uint8)
     return out
 
