@@ -16,6 +16,7 @@ from rankfold.operators.field_encoder import FieldEncoder, FieldEncoderModel
 from rankfold.operators.sequence import positions
 from rankfold.plans.oracle import ART, CAND, EV, with_
 from rankfold.plans.registry import query, r6
+from rankfold.session import ensure_checkpoint_dir
 from rankfold.sources import blocks, io
 from rankfold.sources import staging as st
 from rankfold.streaming.stream_ops import stream_folder
@@ -96,7 +97,8 @@ def _field_sql():
 def q_encode_fields(spark, sf):
     """15 fields, a token sequence and a number, fitted on train, saved, read
     back and applied to the three splits (E3, E19)."""
-    rows = field_rows(spark, sf).drop("label")
+    ensure_checkpoint_dir(spark)
+    rows = field_rows(spark, sf).drop("label").checkpoint(eager=True)  # the joins run once for the fit and the splits
     path = stream_folder(spark, "field-encoder")
     field_encoder().fit(rows.where(F.col("split") == "train")).write().save(path)
     model = FieldEncoderModel.load(path)
