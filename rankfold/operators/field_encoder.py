@@ -17,14 +17,18 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rankfold.functions.lists import pad_sequence, split_tokens
 from rankfold.operators.index import global_index
@@ -174,16 +178,43 @@ class _Reader(MLReader):
         return model
 
 
+def _vector_rows(cats: list[str], starts: list[int], numeric: Sequence[str], size: int, out: str):
+    """Every row's sparse vector: the slots of its ids, then the numbers that are not 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [pc.cast(b.column(f"_id_{c}"), pa.int64()).to_numpy(zero_copy_only=False) + s for c, s in zip(cats, starts)]
+            nums = [b.column(f"_num_{c}").to_numpy(zero_copy_only=False) for c in numeric]
+            if any(np.isnan(x).any() for x in nums):
+                raise ValueError("a number of the vector is NaN")
+            n = b.num_rows
+            at = [*ids, *[np.full(n, size - len(numeric) + i) for i in range(len(numeric))]]
+            value = [*[np.ones(n) for _ in cats], *nums]
+            at = np.stack(at, axis=1).astype(np.int32) if at else np.zeros((n, 0), np.int32)
+            value = np.stack(value, axis=1) if value else np.zeros((n, 0))
+            kept = value != 0
+            ends = pa.array(np.r_[0, kept.sum(axis=1).cumsum()].astype(np.int32))
+            vector = pa.StructArray.from_arrays([
+                pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), pa.ListArray.from_arrays(ends, pa.array(at[kept])),
+                pa.ListArray.from_arrays(ends, pa.array(value[kept]))], names=["type", "size", "indices", "values"])
+            rest = [(name, b.column(name)) for name in b.schema.names if not name.startswith(("_id_", "_num_"))]
+            yield pa.RecordBatch.from_arrays([*[c for _, c in rest], vector], names=[*[name for name, _ in rest], out])
+
+    return run
+
+
 def field_vectors(encoded: DataFrame, model: FieldEncoderModel, numeric: Sequence[str] = (), out: str = "features") -> DataFrame:
     """Sparse one-hot vector of the categorical ids (column offsets in field
-    order, one slot per id, PAD and OOV included) and the numeric columns."""
+    order, one slot per id, PAD and OOV included) and the numeric columns.
+
+    The column says how many slots there are and nothing about each: a name a
+    slot, as Spark's one-hot encoder and assembler keep, would put the whole
+    vocabulary into the plan."""
     _, cats, _, _ = model._specs()
-    slots = {c: model.sizes[c] + 2 for c in cats}  # ids 0 .. size + 1
-    # The encoder learns its slots from a schema-sized table of each field's largest id.
-    top = encoded.sparkSession.createDataFrame([tuple(float(s - 1) for s in slots.values())], ", ".join(f"`_id_{c}` double" for c in cats))
-    ids = encoded.withColumns({f"_id_{c}": F.col(c).cast("double") for c in cats}
-                              | {f"_num_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
-    hot = OneHotEncoder(inputCols=[f"_id_{c}" for c in cats], outputCols=[f"_hot_{c}" for c in cats], dropLast=False).fit(top)
-    rows = hot.transform(ids)
-    return VectorAssembler(inputCols=[*[f"_hot_{c}" for c in cats], *[f"_num_{c}" for c in numeric]], outputCol=out).transform(
-        rows).drop(*[f"_id_{c}" for c in cats], *[f"_hot_{c}" for c in cats], *[f"_num_{c}" for c in numeric])
+    slots = [model.sizes[c] + 2 for c in cats]  # ids 0 .. size + 1
+    starts = [sum(slots[:i]) for i in range(len(slots))]
+    size = sum(slots) + len(numeric)
+    source = encoded.drop(out).withColumns({f"_id_{c}": F.col(c).cast("long") for c in cats}
+                                           | {f"_num_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
+    rest = [f for f in source.schema if not f.name.startswith(("_id_", "_num_"))]
+    field = StructField(out, VectorUDT(), True, {"ml_attr": {"num_attrs": size}})
+    return source.mapInArrow(_vector_rows(cats, starts, list(numeric), size, out), StructType([*rest, field]))
