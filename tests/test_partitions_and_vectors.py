@@ -24,6 +24,7 @@ def test_partitions_grow_with_the_facts(spark, monkeypatch):
         assert spark.conf.get(PARTITIONS) == "900"  # never lowered
     finally:
         spark.conf.set(PARTITIONS, before)
+        spark.conf.unset(session.ADVISORY)
 
 
 def test_vectors_keep_no_name_of_a_slot(spark):
