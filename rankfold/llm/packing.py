@@ -7,11 +7,12 @@ on a histogram of at most ``capacity`` rows whatever the corpus size:
    histogram; a configuration is a multiset of lengths that fits) is solved
    approximately by multiplicative weights: each round prices the lengths,
    finds the most valuable configuration by knapsack dynamic programming, and
-   lowers the prices of the lengths that it covers.
-2. The fractional solution is rounded down; what is left goes through
-   best-fit decreasing on the histogram.
+   lowers the prices of the lengths that it covers, until all are covered.
+2. The fractional solution is rounded down; what is left, less than one use of
+   each configuration, goes through best-fit decreasing on the histogram.  If
+   wasteful configurations cost sequences, they are left to best fit too.
 3. Best-fit decreasing of the whole histogram is the bound that the rounded
-   plan must not exceed (the smaller plan is used).
+   plan must not exceed.
 
 The plan is a table of slots (length, first rank, end rank, ...): the pieces
 of one length are numbered, and a piece's number names its sequence and
@@ -37,6 +38,7 @@ from rankfold.llm.tokens import token_ids
 Pattern = dict[int, int]  # length -> how many
 GROUP_ROWS = 50_000  # pieces of one length that a task numbers together
 ROUNDS = 200
+RATES = (0.02, 1.0)  # of the price updates, in the order of trial
 
 
 def knapsack(values: np.ndarray, lengths: np.ndarray, capacity: int) -> Pattern:
@@ -63,34 +65,38 @@ def knapsack(values: np.ndarray, lengths: np.ndarray, capacity: int) -> Pattern:
     return dict(out)
 
 
-def fractional(hist: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[Pattern, float]]:
+def fractional(hist: dict[int, int], capacity: int, rounds: int = ROUNDS, rate: float = RATES[0]) -> list[tuple[Pattern, float]]:
     """Approximate solution of the configuration program: configurations and
-    how often each is used, scaled to use no length more than it occurs."""
+    how often each is used.  Together they use every length as often as it
+    occurs.
+
+    A round takes the most valuable configuration of the lengths that are not
+    covered yet.  The first ``rounds`` use up half of the scarcest length's
+    rest, so that later prices may combine it otherwise; the ones after use up
+    the rest, so each ends a length and there are at most as many as lengths.
+    ``rate`` is how fast covered lengths become cheap: slowly, configurations
+    stay full; fast, lengths that are hard to combine go first."""
     lengths = np.array(sorted(hist), np.int64)
     need = np.array([hist[int(n)] for n in lengths], np.float64)
-    at = {int(n): i for i, n in enumerate(lengths)}
+    left = need.copy()
     price = lengths / capacity  # a length's share of a sequence: the first dual guess
     used: dict[tuple, float] = defaultdict(float)
-    for _ in range(rounds):
-        found = knapsack(price, lengths, capacity)
+    done = 0
+    while True:
+        open_ = np.flatnonzero(left > 1e-9 * need)
+        if not len(open_):
+            return [(dict(p), x) for p, x in used.items()]
+        at = {int(lengths[i]): i for i in open_}
+        found = knapsack(price[open_], lengths[open_], capacity)
         found = {n: min(k, int(hist[n])) for n, k in found.items()}
-        if not found:
-            break
         rows = np.array([at[n] for n in found])
         take = np.array(list(found.values()), np.float64)
-        share = take / need[rows]
-        step = 0.5 / share.max()  # of the scarcest length, half of what there is
+        step = float((left[rows] / take).min()) * (0.5 if done < rounds else 1.0)
         used[tuple(sorted(found.items()))] += step
-        price[rows] *= np.exp(-np.minimum(step * share, 1.0))  # covered lengths become cheap
-    cover = np.zeros(len(lengths))
-    for p, x in used.items():
-        for n, k in p:
-            cover[at[n]] += k * x
-    out = []
-    for p, x in used.items():
-        scale = min(1.0, *(need[at[n]] / cover[at[n]] for n, _ in p))
-        out.append((dict(p), x * scale))
-    return out
+        left[rows] = np.maximum(0.0, left[rows] - step * take)
+        left[rows[left[rows] <= 1e-9 * need[rows]]] = 0.0
+        price[rows] *= np.exp(-rate * np.minimum(step * take / need[rows], 1.0))  # covered lengths become cheap
+        done += 1
 
 
 def best_fit(hist: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -125,20 +131,28 @@ def plan(hist: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tupl
     whole = [({capacity: 1}, hist.pop(capacity))] if capacity in hist else []
     if not hist:
         return whole
-    left, rounded = dict(hist), []
     waste = lambda p: capacity - sum(n * k for n, k in p.items())
-    for pattern, x in sorted(fractional(hist, capacity, rounds), key=lambda e: (waste(e[0]), -e[1])):
-        if waste(pattern) > capacity // 100:
-            continue  # an underfull configuration is better closed by best fit
-        count = min([int(x), *(left[n] // k for n, k in pattern.items())])
-        if count:
-            rounded.append((pattern, count))
-            for n, k in pattern.items():
-                left[n] -= k * count
-    rounded += best_fit({n: k for n, k in left.items() if k}, capacity)
-    plain = best_fit(hist, capacity)
     total = lambda plan_: sum(c for _, c in plan_)
-    return whole + (rounded if total(rounded) <= total(plain) else plain)
+
+    def rounded(program: list[tuple[Pattern, float]], most: int) -> list[tuple[Pattern, int]]:
+        """Whole uses of the configurations that waste at most ``most``; best fit for what is left."""
+        left, out = dict(hist), []
+        for pattern, x in program:
+            count = min([int(x + 1e-6), *(left[n] // k for n, k in pattern.items())]) if waste(pattern) <= most else 0
+            if count:
+                out.append((pattern, count))
+                for n, k in pattern.items():
+                    left[n] -= k * count
+        return out + best_fit({n: k for n, k in left.items() if k}, capacity)
+
+    best = plain = best_fit(hist, capacity)
+    for rate in RATES:
+        program = sorted(fractional(hist, capacity, rounds, rate), key=lambda e: (waste(e[0]), -e[1]))
+        found = min((rounded(program, most) for most in (capacity, capacity // 10, capacity // 100, 0)), key=total)
+        if total(found) <= total(plain):
+            best = found  # the program's plan keeps the bound
+            break
+    return whole + best
 
 
 def slots(configurations: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int, int, int]]:
