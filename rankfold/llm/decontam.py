@@ -2,9 +2,8 @@
 
 Passages are windows of two neighbouring chunks of ``CHUNK`` words.  Their
 hashed TF-IDF vectors (document frequencies over the whole corpus) are folded
-into a latent space: a distributed randomised SVD of the passages of a bounded
-sample of documents gives its axes, and every passage of every document is
-projected.  Passages near a benchmark item by cosine are candidates; a
+into a latent space: a distributed randomised SVD of the passages of all
+documents gives its axes, and every passage of every document is projected.  Passages near a benchmark item by cosine are candidates; a
 candidate counts when the longest common subsequence of words with the item
 covers ``verbatim`` of the item, or ``paraphrase`` of it and the item's answer
 (its last ``ANSWER_WORDS`` words unless a column gives it) is found too.  The
@@ -33,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankfold.llm.matrices import matrix_sum
 from rankfold.llm.store import stored
 
 FEATURES, RANK, EXTRA, SEED = 16_384, 96, 16, 11
-CHUNK, SAMPLE_DOCS, FIT_PARTS = 16, 4_000, 8
+CHUNK = 16
 NEAR, VERBATIM, PARAPHRASE, ANSWER_WORDS, ANSWER = 0.35, 0.8, 0.5, 8, 0.75
 ITEM_BLOCK = 2_000
 PAIR_WORDS, PAIR_PAIRS = 1 << 18, 4_096  # of one step of the bound
@@ -109,12 +109,12 @@ def _square_norms(features: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return np.bincount(key // FEATURES, weights=(n * idf[key % FEATURES]) ** 2, minlength=windows)
 
 
-def _normal_product(sample: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis) for the passage matrix A of the sample, rows of length 1, one
-    partial product per partition (at most FIT_PARTS)."""
-    held = sample.sparkSession.sparkContext.broadcast(((idf[:, None] * basis).astype(np.float32), idf))
+def _normal_product(texts: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A'(A basis) for the matrix A of all passages, rows of length 1; the
+    partitions' products are added before they reach the driver."""
+    held = texts.sparkSession.sparkContext.broadcast(((idf[:, None] * basis).astype(np.float32), idf))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         table, idf = held.value
         out = np.zeros(table.shape, np.float32)
         for text in _texts(batches, 0):
@@ -134,28 +134,24 @@ def _normal_product(sample: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np
                 a = first[lo:lo + 4096]
                 end = first[lo + 4096] if lo + 4096 < len(first) else len(f)
                 out[f[a]] += np.add.reduceat(g[at[a[0]:end]], a - a[0], axis=0)
-        yield pa.record_batch([pa.array([out.tobytes()], pa.binary())], names=["part"])
+        return out
 
-    total = np.zeros(basis.shape)
-    for r in sample.mapInArrow(run, "part binary").toLocalIterator():
-        total += np.frombuffer(r["part"], np.float32).reshape(basis.shape)
+    total = matrix_sum(texts, part, basis.shape, np.float32)
+    held.destroy()
     return idf[:, None] * total
 
 
-def fit(docs: DataFrame, text_col: str = "text", rank: int = RANK, sample_docs: int = SAMPLE_DOCS) -> Space:
-    """Document frequencies of the whole corpus, axes from the passages of
-    about ``sample_docs`` documents, chosen by a hash of the text."""
+def fit(docs: DataFrame, text_col: str = "text", rank: int = RANK) -> Space:
+    """Document frequencies and axes from the passages of the whole corpus."""
     df, count = document_frequencies(docs, text_col)
     idf = np.log((1 + count) / (1 + df)) + 0.05
     text = F.col(text_col).cast("string")
-    place = F.pmod(F.xxhash64(text, F.lit(SEED)), F.lit(1 << 30)) / F.lit(1 << 30)
-    sample = stored(docs.where(text.isNotNull() & (place < min(1.0, sample_docs / max(1, count))))
-                    .select(text.alias("text")).coalesce(FIT_PARTS), "passages")
+    texts = docs.where(text.isNotNull()).select(text.alias("text"))
     width = rank + EXTRA
     basis, _ = np.linalg.qr(np.random.default_rng(SEED).standard_normal((FEATURES, width)))
     for _ in range(2):  # power steps
-        basis, _ = np.linalg.qr(_normal_product(sample, idf, basis))
-    small = basis.T @ _normal_product(sample, idf, basis)
+        basis, _ = np.linalg.qr(_normal_product(texts, idf, basis))
+    small = basis.T @ _normal_product(texts, idf, basis)
     value, vector = np.linalg.eigh((small + small.T) / 2)
     keep = np.argsort(-value)[:rank]
     keep = keep[value[keep] > 1e-9 * max(value.max(initial=0), 1e-30)]

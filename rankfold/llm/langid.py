@@ -2,14 +2,13 @@
 
 A text is a vector of hashed byte n-grams (letters lower-cased, everything
 else a blank), weighted by tf-idf and normalised.  Every language has several
-centroids, clustered by cosine (spherical k-means) over a bounded sample of
-labelled rows; a text takes the language of the nearest centroid.  A text is
-rejected when it is farther from that centroid than ``slack`` times the
-distance that ``QUANTILE`` of the centroid's own sample stays within, or has
+centroids, clustered by cosine (spherical k-means) over all labelled rows; a
+text takes the language of the nearest centroid.  A text is rejected when it is farther from that centroid than ``slack`` times the
+distance that ``QUANTILE`` of the centroid's own rows stays within, or has
 no letters.
 
-The sample holds about ``per_lang`` rows of each language, chosen by a hash of
-the id; the model (idf and centroids) is all that reaches the driver.
+Every labelled row that is not held out is learned from, in every round; the
+model (idf and centroids) is all that reaches the driver.
 
 Edge cases: a null text or one without letters is ``und`` with score 0 and
 rejected; with no labelled rows every text is ``und``; a null doc_id is never
@@ -27,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankfold.llm.matrices import matrix_sum
 from rankfold.llm.store import stored
 
 DIMS, GRAMS = 4096, (1, 2, 3, 4)
-PER_LANG, CLUSTERS, ROUNDS, SEED = 2000, 3, 5, 17
+CLUSTERS, ROUNDS, SEED = 3, 5, 17
 QUANTILE, SLACK = 0.99, 1.25
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -87,45 +87,37 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> DataFrame:
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(lang, text) of the rows to learn from, written once for all rounds."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
     labelled = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    share = {r["lang"]: min(1.0, per_lang / r["count"]) for r in labelled.groupBy("lang").count().collect()}
-    if not share:
-        return stored(labelled.select("lang", "text").where("false"), "lang-sample")
-    place = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) / F.lit(1 << 20)
-    rate = F.element_at(F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.col("lang"))
-    return stored(labelled.where((place < rate) & F.col("text").rlike(r"\p{L}")).select("lang", "text").coalesce(16), "lang-sample")
+    return stored(labelled.where(F.col("text").rlike(r"\p{L}")).select("lang", "text"), "lang-rows")
 
 
-def _sums(sample: DataFrame, per_group, rows: int) -> np.ndarray:
-    """Sum over the sample of ``per_group(langs, texts)`` (rows x DIMS): each of
-    the sample's partitions sends one matrix to the driver."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sums(labelled: DataFrame, per_group, rows: int) -> np.ndarray:
+    """Sum over the labelled rows of ``per_group(langs, texts)`` (rows x DIMS)."""
+    def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((rows, DIMS))
         for b in batches:
             langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for g in _groups(texts):
                 total += per_group(langs[g], texts[g])
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sum"])
+        return total
 
-    out = np.zeros((rows, DIMS))
-    for r in sample.select("lang", "text").mapInArrow(run, "sum binary").toLocalIterator():
-        out += np.frombuffer(r["sum"]).reshape(rows, DIMS)
-    return out
+    return matrix_sum(labelled.select("lang", "text"), part, (rows, DIMS))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_lang: int = PER_LANG, clusters: int = CLUSTERS, rounds: int = ROUNDS) -> Model:
-    sample = _sample(docs, id_col, text_col, lang_col, per_lang)
-    size = sample.count()
+        clusters: int = CLUSTERS, rounds: int = ROUNDS) -> Model:
+    labelled = _labelled(docs, id_col, text_col, lang_col)
+    size = labelled.count()
     if not size:
         return Model()
-    df = _sums(sample, lambda _, texts: (counts(texts) > 0).sum(axis=0, keepdims=True), 1)[0]
+    df = _sums(labelled, lambda _, texts: (counts(texts) > 0).sum(axis=0, keepdims=True), 1)[0]
     idf = (np.log((1 + size) / (1 + df)) + 0.1).astype(np.float32)
     # First centroids: some texts of each language.
-    seeds = sample.groupBy("lang").agg(*[
+    seeds = labelled.groupBy("lang").agg(*[
         F.min_by("text", F.xxhash64("text", F.lit(SEED + i))).alias(f"t{i}") for i in range(clusters)])
     langs, texts = [], []
     for r in sorted(seeds.collect(), key=lambda r: r["lang"]):
@@ -147,7 +139,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             np.add.at(out, nearest(own, v, c)[0], v)
             return out
 
-        total = _sums(sample, add, len(names))
+        total = _sums(labelled, add, len(names))
         norm = np.linalg.norm(total, axis=1, keepdims=True)
         centroids = np.where(norm > 0, total / np.maximum(norm, 1e-12), centroids).astype(np.float32)
 
@@ -157,7 +149,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         np.add.at(out, (which, np.clip((1 - cos) * DIMS, 0, DIMS - 1).astype(int)), 1)
         return out
 
-    hist = _sums(sample, spread, len(names)).cumsum(axis=1)
+    hist = _sums(labelled, spread, len(names)).cumsum(axis=1)
     far = (hist < QUANTILE * hist[:, -1:]).sum(axis=1) + 1
     return Model(idf, centroids, langs, np.minimum(SLACK * far / DIMS, 0.98).astype(np.float32))
 
