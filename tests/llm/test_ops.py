@@ -615,4 +615,4 @@ def test_binary_files_round_trip(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14)) and "pipeline" in QUERIES
