@@ -27,6 +27,21 @@ def test_partitions_grow_with_the_facts(spark, monkeypatch):
         spark.conf.unset(session.ADVISORY)
 
 
+@pytest.mark.parametrize("named, want", [(None, "16m"), ("64MB", "16m"), ("256m", "16m"), ("8m", "8m"), ("4096", "4096")])
+def test_partitions_are_merged_to_a_bound_where_there_are_enough(spark, monkeypatch, named, want):
+    before = spark.conf.get(PARTITIONS)
+    monkeypatch.setattr(session, "PARTITION_ROWS", 500)
+    try:
+        spark.conf.set(PARTITIONS, "900")  # none has to be added
+        if named:
+            spark.conf.set(session.ADVISORY, named)
+        st.table(spark, SF_SMALL, "lineitem")
+        assert spark.conf.get(session.ADVISORY, None) == want and spark.conf.get(PARTITIONS) == "900"
+    finally:
+        spark.conf.set(PARTITIONS, before)
+        spark.conf.unset(session.ADVISORY)
+
+
 def test_vectors_keep_no_name_of_a_slot(spark):
     df = spark.createDataFrame([(i, f"u{i}", float(i)) for i in range(50)], "id long, u string, price double")
     enc = FieldEncoder(keyCols=["id"], categorical=["u"], numeric=["price"]).fit(df)
