@@ -12,24 +12,32 @@ Distinct values and medians need the values: they are counted once as runs
 (pivot, clocks, column, value, weight), which are merged upwards the same way;
 medians are picked from the runs of all levels by weighted selection.
 
-The rows meet the statistics in one join, on (pivot, finest clock): the coarser
-levels are attached to that table first.  Null pivots and null clocks are
-groups of their own, joined by a flag and a stand-in instead of null-safe
-equality.
+Two ways lead from there to the rows.  A pivot value of up to ``max_rows`` rows
+fits one task: the narrow rows are shuffled once by pivot, and numpy computes
+every level's statistics slice by slice beside the rows, so that the wide rows
+are never shuffled, spilled or written.  The rows of larger values meet the
+merged states in one join, on (pivot, finest clock), as do rollups that only
+count: the coarser levels are attached to that table first.  Null pivots and
+null clocks are groups of their own, joined by a flag and a stand-in instead of
+null-safe equality.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from rankfold.operators.selection import group_medians
-from rankfold.session import ensure_checkpoint_dir
+from rankfold.session import PARTITION_ROWS, ensure_checkpoint_dir
 
 # (clock, the finer clock that it is merged from); None is the pivot itself.
 CLOCKS: list[tuple[str | None, str | None]] = [
@@ -216,14 +224,173 @@ def rollup_names(r: Rollup) -> list[tuple[str, str | None, str]]:
     return out
 
 
-def attach_rollups(df: DataFrame, rollups: Sequence[Rollup]) -> DataFrame:
+# ------------------------------------------------- pivots that fit a task --
+
+SLICE_ROWS, BATCH_ROWS = 16_384, 8_192  # rows whose statistics are held, and given out, at a time
+MOMENTS = ("min", "max", "mean", "std", "skew", "first", "last", "maxmin")  # as in _statistics
+
+
+def _level_outputs(r: Rollup, clock: str | None) -> list[tuple[str, int | None, str]]:
+    """(kind, place of the column, output name) of a level, in the order of the joined form."""
+    out = [(k, i, r.name(k, c, clock)) for i, c in enumerate(r.dense) for k in MOMENTS]
+    if clock in r.count_names:
+        out.append(("count", None, r.count_names[clock]))
+    out += [("median", i, r.name("median", c, clock)) for i, c in enumerate(r.dense)]
+    return out + [("nunique", i, r.name("nunique", c, clock)) for i, c in enumerate(r.distinct)]
+
+
+def _codes(table: pa.Table, column: str) -> np.ndarray:
+    """A number for every value of a column; nulls are -1."""
+    coded = table.column(column).combine_chunks().dictionary_encode()
+    return coded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number for every pair of codes."""
+    return (a + 1) * (b.max(initial=-1) + 2) + b + 1
+
+
+def _pieces(ends: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``size`` rows that end at some of ``ends``."""
+    at = 0
+    while at < ends[-1]:
+        to = int(ends[max(np.searchsorted(ends, at + size, "right") - 1, np.searchsorted(ends, at, "right"))])
+        yield at, to
+        at = to
+
+
+def _ends(sorted_: np.ndarray) -> np.ndarray:
+    return np.append(np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1, len(sorted_))
+
+
+def _level_statistics(key: np.ndarray, dense: list[tuple], distinct: list[np.ndarray]) -> tuple[np.ndarray, dict]:
+    """The group of every row, by ``key``, and the groups' statistics:
+    (kind, place of the column) -> (values, which are known).  Rows come in
+    order inside each group; ``dense`` holds (values, known, order by value)."""
+    _, group, size = np.unique(key, return_inverse=True, return_counts=True)
+    groups = len(size)
+    start = np.cumsum(size) - size
+    ordered = np.argsort(group, kind="stable")
+    first, last = ordered[start], ordered[start + size - 1]
+    out: dict[tuple, tuple] = {("count", None): (size.astype(np.int64), None)}
+    with np.errstate(all="ignore"):
+        for i, (x, known, by_value) in enumerate(dense):
+            ranked = x[by_value[np.argsort(group[by_value], kind="stable")]]  # a group's values ascending, nulls last
+            n = np.bincount(group[known], minlength=groups)
+            some, most = n > 0, np.maximum(n, 1)
+            low, high = ranked[start], ranked[start + most - 1]
+            mean = np.bincount(group, np.where(known, x, 0.0), groups) / most
+            off = np.where(known, x - mean[group], 0.0)
+            rest = np.bincount(group, off, groups) / most  # what rounding left in the mean
+            rest = np.where(np.isfinite(rest), rest, 0.0)
+            off = np.where(known, off - rest[group], 0.0)
+            square = off * off
+            m2, m3 = np.bincount(group, square, groups), np.bincount(group, square * off, groups)
+            flat = (low == high) | (np.isnan(low) & np.isnan(high))
+            out["min", i], out["max", i], out["mean", i] = (low, some), (high, some), (mean + rest, some)
+            out["std", i] = np.where(flat, 0.0, np.sqrt(m2 / np.maximum(n - 1, 1))), n > 1
+            out["skew", i] = np.sqrt(n) * m3 / m2 ** 1.5, some & ~flat & (m2 != 0)
+            out["first", i], out["last", i] = (x[first], known[first]), (x[last], known[last])
+            out["maxmin", i] = high - low, some
+            out["median", i] = (ranked[start + (most - 1) // 2] + ranked[start + most // 2]) / 2, some
+    for i, code in enumerate(distinct):  # null is a value of its own
+        width = code.max(initial=-1) + 2
+        out["nunique", i] = np.bincount(np.unique(group * width + code + 1) // width, minlength=groups), None
+    return group, out
+
+
+def _beside_rows(r: Rollup, keep: list[str]):
+    """Rows of whole pivots -> the same rows with the statistics of all levels."""
+    cut = dict(r.clocks).get(None)  # pivots longer than a slice are cut at its groups
+    inner = [c for c in r.named_clocks if cut and (c == cut or cut in _up(c, r.clocks))]
+    outputs = {c: _level_outputs(r, c) for c, _ in r.clocks}
+    names = [*keep, *[n for c, _ in r.clocks for _, _, n in outputs[c]]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        del held
+        pivot = _codes(table, r.pivot)
+        clocks = {c: _pairs(pivot, _codes(table, c)) if c else pivot for c, _ in r.clocks}
+        distinct = [_codes(table, f"_s{i}") for i in range(len(r.distinct))]
+        dense = []
+        for i in range(len(r.dense)):
+            column = table.column(f"_d{i}").combine_chunks()
+            dense.append((column.fill_null(0.0).to_numpy(zero_copy_only=False), column.is_valid().to_numpy(zero_copy_only=False)))
+        kept = table.select(keep)
+        order = pc.sort_indices(table.select(list(r.order)), sort_keys=[(c, "ascending") for c in r.order],
+                                null_placement="at_start").to_numpy()
+
+        def levels(rows: np.ndarray, which: list) -> dict:
+            columns = [(x[rows], known[rows]) for x, known in dense]
+            columns = [(x, known, np.lexsort((x, ~known))) for x, known in columns]
+            codes = [code[rows] for code in distinct]
+            return {c: _level_statistics(clocks[c][rows], columns, codes) for c in which}
+
+        rows = order[np.argsort(pivot[order], kind="stable")]
+        for lo, hi in _pieces(_ends(pivot[rows]), SLICE_ROWS):
+            whole = rows[lo:hi]
+            outer = levels(whole, [c for c, _ in r.clocks if c not in inner])
+            by_cut = np.argsort(clocks[cut][whole], kind="stable") if cut else np.arange(len(whole))
+            ends = _ends(clocks[cut][whole][by_cut]) if cut else np.array([len(whole)])
+            for a, b in _pieces(ends, SLICE_ROWS):
+                piece = by_cut[a:b]
+                found = {c: (group[piece], stats) for c, (group, stats) in outer.items()} | levels(whole[piece], inner)
+                for at in range(0, len(piece), BATCH_ROWS):
+                    some = slice(at, at + BATCH_ROWS)
+                    columns = [x.combine_chunks() for x in kept.take(pa.array(whole[piece[some]])).columns]
+                    for c, _ in r.clocks:
+                        group = found[c][0][some]
+                        for kind, i, _ in outputs[c]:
+                            values, known = found[c][1][kind, i]
+                            columns.append(pa.array(values[group], mask=None if known is None else ~known[group]))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def _attach_beside(rows: DataFrame, r: Rollup) -> DataFrame:
+    """``rows`` with the statistics of ``r``, a pivot's rows in one task."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    helpers = [F.col(c).cast("double").alias(f"_d{i}") for i, c in enumerate(r.dense)]
+    helpers += [F.col(c).cast("string").alias(f"_s{i}") for i, c in enumerate(r.distinct)]
+    fields = [StructField(name, LongType() if kind in ("count", "nunique") else DoubleType())
+              for c, _ in r.clocks for kind, _, name in _level_outputs(r, c)]
+    return (rows.repartition(n, r.pivot).select("*", *helpers)
+            .mapInArrow(_beside_rows(r, rows.columns), StructType([*rows.schema.fields, *fields])))
+
+
+def _attach_joined(rows: DataFrame, source: DataFrame, r: Rollup) -> DataFrame:
+    """``rows`` joined with the statistics of ``r`` over ``source``."""
+    keyed = rows.select("*", *_key(rows, r.pivot, "_p"), *_key(rows, r.base, f"_{r.base}"))
+    levels = [f"_level_{i}.*" for i in range(len(r.clocks))]
+    return keyed.join(rollup_tables(source, r), _keys(r.base), "left").select(*rows.columns, *levels).drop("_none")
+
+
+def attach_rollups(df: DataFrame, rollups: Sequence[Rollup], max_rows: int = PARTITION_ROWS) -> DataFrame:
     """``df`` with the statistics of every rollup: the needed columns are
-    written once, and every pivot costs one join of ``df``."""
+    written once.  A rollup costs one shuffle of ``df`` by its pivot; the rows of
+    pivot values with more than ``max_rows`` rows, and rollups that only count,
+    are joined with merged states."""
     needed = list(dict.fromkeys(c for r in rollups for c in (r.pivot, *r.named_clocks, *r.order, *r.dense, *r.distinct)))
     source = _stored(df.select(*needed), "source") if set(needed) != set(df.columns) else None
     rows = df if source is not None else (source := _stored(df, "source"))
     for r in rollups:
-        keyed = rows.select("*", *_key(df, r.pivot, "_p"), *_key(df, r.base, f"_{r.base}"))
-        levels = [f"_level_{i}.*" for i in range(len(r.clocks))]
-        rows = keyed.join(rollup_tables(source, r), _keys(r.base), "left").select(*rows.columns, *levels).drop("_none")
+        if not (r.dense or r.distinct):
+            rows = _attach_joined(rows, source, r)
+            continue
+        large = _stored(source.groupBy(F.col(r.pivot).alias("_large")).agg(F.count(F.lit(1)).alias("_n"))
+                        .where(F.col("_n") > max_rows).select("_large"), "large")
+        if large.isEmpty():
+            rows = _attach_beside(rows, r)
+            continue
+        large = F.broadcast(large)  # one value per max_rows rows at most
+
+        def of(side: DataFrame, how: str, r=r, large=large) -> DataFrame:
+            return side.join(large, F.col(r.pivot).eqNullSafe(F.col("_large")), how)
+
+        beside = _attach_beside(of(rows, "left_anti"), r)
+        rows = beside.union(_attach_joined(of(rows, "left_semi"), of(source, "left_semi"), r).select(*beside.columns))
     return rows

@@ -90,14 +90,22 @@ def _places(kind, col):
 NUDGE = 1e-9  # means of 2^n values with two decimals end in a 5
 
 
+def _nudged(name: str, places: int):
+    """Rounded as DuckDB does it, to the nearest integer of 10^-places: Spark's
+    ``round`` goes through a decimal number, most of the time of 490 columns."""
+    unit = F.lit(float(10 ** places))
+    return F.rint((F.col(name).cast("double") + F.lit(NUDGE)) * unit) / unit + F.lit(0.0)
+
+
 def _register_rollup(pivot: str):
     r = _rollup(pivot)
 
     @query(f"pivot_rollup_{pivot.removesuffix('_id')}", stats_sql(WIDE, "wide", ["event_id"], _key_sets(r), ORDER, _places, NUDGE))
     def _q(spark, sf):
-        out = attach_rollups(wide_base(spark, sf), [r])
+        base = wide_base(spark, sf).select(*dict.fromkeys([*ORDER, pivot, *r.named_clocks, *DENSE, *DISTINCT]))
+        out = attach_rollups(base, [r])
         return out.select("event_id", *[
-            F.col(n).cast("long").alias(n) if k in INT_KINDS else (F.round(F.col(n).cast("double") + F.lit(NUDGE), _places(k, c)) + F.lit(0.0)).alias(n)
+            F.col(n).cast("long").alias(n) if k in INT_KINDS else _nudged(n, _places(k, c)).alias(n)
             for k, c, n in rollup_names(r)])
     return _q
 

@@ -160,6 +160,28 @@ def test_rollup_equals_the_plain_aggregates(spark):
         assert np.allclose(a.fillna(0), b.fillna(0), rtol=1e-9, atol=1e-6), name
 
 
+@pytest.mark.parametrize("size", [1, 40, 16_384])
+def test_large_pivots_are_joined_and_the_others_stay_beside_their_rows(spark, monkeypatch, size):
+    """Same statistics, whatever share of the rows takes which way and however a pivot is cut."""
+    from rankfold.operators import rollup
+    monkeypatch.setattr(rollup, "SLICE_ROWS", size)
+    monkeypatch.setattr(rollup, "BATCH_ROWS", max(7, size // 2))
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, "hot", "hot", "a", "b"]), None if i % 31 == 0 else T0 + timedelta(seconds=rnd.choice([0, 1, 61, 3700, 90_000])),
+             i, rnd.choice([None, 0.25, 1.0, 3.5]), rnd.choice([None, "x", "y"])) for i in range(160)]
+    df = clocked(spark.createDataFrame(rows + rows[:30], "u string, t timestamp_ntz, id long, v double, c string"))
+    r = Rollup("u", ["v"], ["c"], ["t", "id"], count_names={None: "n_u", "day_hour": "n_hour"})
+    made = [attach_rollups(df, [r], max_rows=m) for m in (10_000, 60, 1)]  # none, some and all by join
+    assert made[0].columns == made[1].columns == made[2].columns
+    assert "Join" not in made[0]._jdf.queryExecution().optimizedPlan().toString()
+    beside, mixed, joined = (x.toPandas().sort_values("id").reset_index(drop=True) for x in made)
+    assert len(beside) == len(mixed) == len(joined) == 190
+    for name in [n for _, _, n in rollup_names(r)]:
+        for other in (mixed, joined):
+            assert (beside[name].isna() == other[name].isna()).all(), name
+            assert np.allclose(beside[name].fillna(0).astype(float), other[name].fillna(0).astype(float), rtol=1e-9, atol=1e-7), name
+
+
 def test_rollup_joins_the_rows_once(spark):
     _, df = skewed(spark, 60)
     r = Rollup("k", ["v"], ["k"], ["t", "id"])
