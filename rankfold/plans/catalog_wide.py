@@ -91,10 +91,14 @@ NUDGE = 1e-9  # means of 2^n values with two decimals end in a 5
 
 
 def _nudged(name: str, places: int):
-    """Rounded as DuckDB does it, to the nearest integer of 10^-places: Spark's
-    ``round`` goes through a decimal number, most of the time of 490 columns."""
+    """Rounded as DuckDB does it, to the nearest integer of 10^-places, halves
+    away from zero: Spark's ``round`` goes through a decimal number, most of the
+    time of 490 columns."""
     unit = F.lit(float(10 ** places))
-    return F.rint((F.col(name).cast("double") + F.lit(NUDGE)) * unit) / unit + F.lit(0.0)
+    value = (F.col(name).cast("double") + F.lit(NUDGE)) * unit
+    even = F.rint(value)
+    half = F.when(value - even == F.signum(value) * 0.5, F.signum(value)).otherwise(F.lit(0.0))
+    return (even + half) / unit + F.lit(0.0)
 
 
 def _register_rollup(pivot: str):
