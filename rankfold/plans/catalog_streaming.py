@@ -58,7 +58,7 @@ def q_stream_block_scoring(spark, sf):
 
 def _arrivals(spark, sf, files: int = 6):
     """The events as ``files`` files in order of time, where every 17th event
-    arrives one file late."""
+    arrives one file late.  All cores read the table for a file, one writes it."""
     ev = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
     at = epoch_micros("ts")
     lo, hi = ev.agg(F.min(at), F.max(at)).first()
@@ -66,7 +66,7 @@ def _arrivals(spark, sf, files: int = 6):
     part = F.least(((at - F.lit(lo)) / F.lit(width)).cast("int") + (F.col("event_id") % 17 == 0).cast("int"), F.lit(files - 1))
     folder = Z.stream_folder(spark, "arrivals")
     for i in range(files):  # one after the other: the source reads files by their time
-        ev.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+        ev.where(part == i).repartition(1).write.mode("append").parquet(folder)
     return folder, ev.schema
 
 

@@ -80,3 +80,50 @@ def test_open_windows_are_upserted(spark, tmp_path):
     minutes = stateful.latest(spark, out, ["window_us", "user_id"], "window_us long, user_id long, n long")
     assert sorted(r["n"] for r in minutes.collect()) == [1, 2]
     assert stateful.roll_up(minutes, ["user_id"], 3600).first()["n"] == 3
+
+
+def test_a_user_has_one_timer_which_follows_the_last_event(spark, tmp_path):
+    """State is read and written once a batch; a timer that fires early is set again."""
+    from rankfold.streaming import stateful
+
+    class Held:
+        value, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        def getValueState(self, name, schema):
+            return Held()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    from pyspark.sql import Row
+    hour = 3_600_000_000
+    p = stateful.GapProcessor(idle_ms=2 * 3_600_000)
+    p.init(handle := Handle())
+    give = lambda ms, *rows: [(r["event_id"], r["user_before"], r["version"]) for r in p.handleInputRows(
+        (1,), iter([Row(ts_us=t, event_id=e) for t, e in rows]), Now(ms))]
+    assert give(0, (0, 1)) == [(1, None, 1)]
+    assert give(0, (hour, 2)) == [(2, 3600, 2)]
+    assert give(0, (hour // 2, 3)) == [(3, 1800, 3), (2, 1800, 3)] and give(0, (hour, 2)) == []
+    assert handle.timers == [2 * 3_600_000] and p.held.calls == 7  # the repeated row changed nothing
+    assert list(p.handleExpiredTimer((1,), Now(2 * 3_600_000), None)) == [] and p.held.value is not None
+    assert handle.timers[1:] == [3 * 3_600_000]
+    assert list(p.handleExpiredTimer((1,), Now(3 * 3_600_000), None)) == [] and p.held.value is None
