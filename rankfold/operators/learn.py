@@ -8,17 +8,26 @@ order.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (FMClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankfold.session import ensure_checkpoint_dir
+
 SEED = 2023
+BLOCK_ROWS = 16_384  # rows of a dense block
 
 
 def _assembler(features: list[str]) -> VectorAssembler:
@@ -43,10 +52,105 @@ def logistic(features: list[str], label: str = "label", reg: float = 0.0) -> Pip
     return Pipeline(stages=[_assembler(features), LogisticRegression(labelCol=label, featuresCol="features", regParam=reg)])
 
 
-def factorization_machine(features: list[str], label: str = "label", factor_size: int = 8) -> Pipeline:
-    """Factorization machine classifier."""
-    return Pipeline(stages=[_assembler(features), FMClassifier(labelCol=label, featuresCol="features",
-                                                               factorSize=factor_size, seed=SEED)])
+def factorization_machine(features: list[str], label: str = "label", factor_size: int = 8) -> FactorizationMachine:
+    """Factorization machine classifier on numeric columns."""
+    return FactorizationMachine(list(features), label, factor_size)
+
+
+@dataclass
+class FactorizationMachineModel:
+    """Factors (features x size), linear weights and intercept."""
+    features: list[str]
+    factors: np.ndarray
+    linear: np.ndarray
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the ``probability`` vector of both classes."""
+        x = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in self.features]
+
+        def total(weights, values):
+            return sum((v * F.lit(float(w)) for w, v in zip(weights, values)), F.lit(0.0))
+
+        own = total((self.factors ** 2).sum(axis=1), [v * v for v in x])
+        sums = [total(column, x) for column in self.factors.T]
+        raw = F.lit(self.intercept) + total(self.linear, x) + (sum((t * t for t in sums), F.lit(0.0)) - own) * 0.5
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-raw))
+        return df.withColumn("_p", p).withColumn("probability", array_to_vector(F.array(F.lit(1.0) - F.col("_p"), F.col("_p")))).drop("_p")
+
+
+@dataclass
+class FactorizationMachine:
+    """Factorization machine on dense numeric columns: Spark ML's ``FMClassifier``
+    (its first weights, Adam steps over the whole table, its stop) on blocks.
+
+    The training columns are written once as dense blocks; a step is one job
+    that sums a model-sized gradient per task with matrix products, instead of
+    one vector object a row."""
+    features: list[str]
+    label: str = "label"
+    factor_size: int = 8
+    max_iter: int = 100
+    step: float = 1.0
+    tol: float = 1e-6
+
+    def _first_factors(self, spark) -> np.ndarray:
+        """What Spark ML starts from with this seed: a row of zeros moves no factor."""
+        row = spark.createDataFrame([([0.0] * len(self.features), 0.0)], "x array<double>, label double")
+        fm = FMClassifier(factorSize=self.factor_size, maxIter=1, seed=SEED)
+        return fm.fit(row.select("label", array_to_vector("x").alias("features"))).factors.toArray()
+
+    def _blocks(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = np.column_stack([c.fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in b.columns])
+                cut = [rows[at:at + BLOCK_ROWS].tobytes() for at in range(0, len(rows), BLOCK_ROWS)]
+                yield pa.record_batch([pa.array(cut, pa.binary())], names=["block"])
+
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fm-blocks/{uuid.uuid4().hex}"
+        df.select(*[F.col(c).cast("double") for c in (*self.features, self.label)]).mapInArrow(pack, "block binary").write.parquet(path)
+        return spark.read.schema("block binary").parquet(path).coalesce(spark.sparkContext.defaultParallelism)
+
+    def fit(self, df: DataFrame) -> FactorizationMachineModel:
+        d, k = len(self.features), self.factor_size
+        factors = self._first_factors(df.sparkSession)
+        blocks = self._blocks(df)
+        weights = np.concatenate([factors.ravel(), np.zeros(d + 1)])
+
+        def gradient(weights: np.ndarray) -> tuple[np.ndarray, int]:
+            def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                v, w, b0 = weights[:d * k].reshape(d, k), weights[d * k:-1], weights[-1]
+                total, n = np.zeros(len(weights)), 0
+                for batch in batches:
+                    for raw in batch.column(0).to_pylist():
+                        rows = np.frombuffer(raw).reshape(-1, d + 1)
+                        x = np.ascontiguousarray(rows[:, :d])
+                        sums, square = x @ v, x * x
+                        score = b0 + x @ w + 0.5 * ((sums * sums).sum(axis=1) - square @ (v * v).sum(axis=1))
+                        with np.errstate(over="ignore"):
+                            off = 1.0 / (1.0 + np.exp(-score)) - rows[:, d]
+                        total[:d * k] += (x.T @ (off[:, None] * sums) - v * (square.T @ off)[:, None]).ravel()
+                        total[d * k:-1] += x.T @ off
+                        total[-1] += off.sum()
+                        n += len(rows)
+                yield pa.record_batch([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["total", "n"])
+
+            found = blocks.mapInArrow(part, "total binary, n long").collect()  # one gradient a task
+            return sum((np.frombuffer(r["total"]) for r in found), np.zeros(len(weights))), sum(r["n"] for r in found)
+
+        mean, spread = np.zeros(len(weights)), np.zeros(len(weights))
+        for i in range(1, self.max_iter + 1):
+            total, n = gradient(weights)
+            if not n:
+                break
+            g = total / n
+            mean, spread = 0.9 * mean + 0.1 * g, 0.999 * spread + 0.001 * g * g
+            last, weights = weights, weights - self.step * (mean / (1 - 0.9 ** i)) / (np.sqrt(spread / (1 - 0.999 ** i)) + 1e-8)
+            if i > 1 and np.linalg.norm(weights - last) < self.tol * max(np.linalg.norm(weights), 1.0):
+                break
+        return FactorizationMachineModel(self.features, weights[:d * k].reshape(d, k), weights[d * k:-1], float(weights[-1]))
 
 
 def on_vectors(kind: str, label: str = "label", **options) -> Pipeline:
@@ -69,7 +173,7 @@ def mlp(features: list[str], label: str = "label", hidden: tuple[int, ...] = (16
         labelCol=label, featuresCol="features", layers=layers, seed=SEED, maxIter=50)])
 
 
-def score(model: PipelineModel, df: DataFrame, key: list[str], out: str = "score") -> DataFrame:
+def score(model: PipelineModel | FactorizationMachineModel, df: DataFrame, key: list[str], out: str = "score") -> DataFrame:
     """Positive-class probability keyed by ``key``."""
     pred = model.transform(df)
     return pred.select(*key, vector_to_array("probability")[1].alias(out))
