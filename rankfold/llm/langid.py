@@ -52,7 +52,7 @@ def counts(texts: list[str]) -> np.ndarray:
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
     size = np.array([len(r) for r in raw], np.int64)
     owner = np.repeat(np.arange(len(raw), dtype=np.int64) * DIMS, size)
-    out = np.zeros(len(raw) * DIMS, np.int64)
+    slots = []
     blank = np.r_[(data[:-1] == 32) & (data[1:] == 32), False]  # runs of blanks count once
     h = np.zeros(len(data), np.uint32)
     for n in range(1, max(GRAMS) + 1):
@@ -61,15 +61,24 @@ def counts(texts: list[str]) -> np.ndarray:
             mixed = h * np.uint32(0x9E3779B1)
             same = (owner[: len(h)] == owner[n - 1:]) & ~blank[: len(h)]
             slot = owner[: len(h)] + (mixed >> np.uint32(32 - 12)).astype(np.int64)
-            out += np.bincount(slot[same], minlength=len(out))
-    return out.reshape(len(raw), DIMS)
+            slots.append(slot[same])
+    return np.bincount(np.concatenate(slots), minlength=len(raw) * DIMS).reshape(len(raw), DIMS)
 
 
 def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
-    v = np.log1p(counts(texts)).astype(np.float32) * idf
+    n = counts(texts)
+    v = np.log1p(np.arange(n.max(initial=0) + 1)).astype(np.float32)[n] * idf  # few counts differ
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
+def _sums_by(which: np.ndarray, v: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of the rows of ``v`` that share a number below ``rows``."""
+    out = np.zeros((rows, v.shape[1]))
+    for k in np.unique(which):
+        out[k] = v[which == k].sum(axis=0, dtype=np.float64)
+    return out
+
+
 def _groups(texts: list[str]) -> Iterator[slice]:
     """Runs of up to 64 texts and about a megabyte."""
     at = 0
@@ -135,9 +144,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     for _ in range(rounds):
         def add(own: list[str], texts: list[str], c=centroids) -> np.ndarray:
             v = vectors(texts, idf)
-            out = np.zeros((len(names), DIMS))
-            np.add.at(out, nearest(own, v, c)[0], v)
-            return out
+            return _sums_by(nearest(own, v, c)[0], v, len(names))
 
         total = _sums(labelled, add, len(names))
         norm = np.linalg.norm(total, axis=1, keepdims=True)
