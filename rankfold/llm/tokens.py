@@ -14,18 +14,23 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import count, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_WORDS = 250_000
+MAX_WORDS, MAX_TAILS = 250_000, 10_000
+GROUP_BYTES = 2_000_000  # of the texts whose distinct words are looked up together
 # Words that are one letters-only pre-token and that normalization only lower-cases:
 # letters below U+0250 but for U+0130, whose lower case is not a letter sequence.
 _EASY = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
+# Marks behind a word: one pre-token, split from the letters before it.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -62,17 +67,23 @@ class Encoder:
                 self.ends[i] = token.endswith("</w>")
             del spec, model
             self.chars = dict(enumerate(_byte_chars())) | {32: " "}
-            self.tails = {c: np.array(self.exact.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-                          for c in (b".", b",")}
+            self.tails: dict[bytes, bytes] = {}  # ids of final marks
+
+    def _tail(self, marks: bytes) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) > MAX_TAILS:
+                self.tails.clear()
+            self.tails[marks] = self._direct(marks.decode())
+        return self.tails[marks]
 
     def _learn(self, missing: list[bytes]) -> None:
-        """Encode unseen words: letters-only ones, with or without a final mark,
+        """Encode unseen words: letters-only ones, with or without final marks,
         many at a time without normalization; all others one by one."""
         words = self.words
         plain = list(filter(bytes.isalpha, missing))  # bytes: ASCII letters only
         wide, hard, marked = [], [], []
         for w in filterfalse(bytes.isalpha, missing):
-            body, mark = (w[:-1], w[-1:]) if w[-1:] in self.tails else (w, b"")
+            body = w.rstrip(_MARKS)
             if body.isalpha():
                 plain.append(body)
             elif _EASY(body.decode()):
@@ -80,8 +91,8 @@ class Encoder:
             else:
                 hard.append(w)
                 continue
-            if mark:
-                marked.append((w, body, mark))
+            if len(body) < len(w):
+                marked.append((w, body, w[len(body):]))
         for some in (plain, wide):
             some = [w for w in dict.fromkeys(some) if w not in words]
             for at in range(0, len(some), 2000):
@@ -94,7 +105,7 @@ class Encoder:
                 if len(cuts) != len(part):
                     raise ValueError("a word was not one pre-token")
                 words.update(zip(part, map(ids.tobytes().__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
-        words.update((w, words[body] + self.tails[mark]) for w, body, mark in marked)
+        words.update((w, words[body] + self._tail(marks)) for w, body, marks in marked)
         if hard:
             for w, e in zip(hard, self.exact.encode_batch_fast([w.decode() for w in hard], add_special_tokens=False)):
                 words[w] = np.array(e.ids, "<u4").tobytes()
@@ -108,28 +119,47 @@ class Encoder:
             return [self._direct(t.decode()) if t else b"" for t in texts]
         out: list[bytes | None] = [None] * len(texts)
         at = 0
-        while at < len(texts):  # groups of texts of about a megabyte
-            if len(self.words) > MAX_WORDS:
-                self.old, self.words = self.words, {}
-            words, group, met, size = self.words, [], set(), 0
-            while at < len(texts) and size < 1_000_000:
+        while at < len(texts):  # groups of texts
+            number = defaultdict(count().__next__)  # of each distinct word
+            group, places, ends, size = [], [], [], 0
+            while at < len(texts) and size < GROUP_BYTES:
                 raw = (texts[at] or b"").lower()  # A-Z only
                 if any(t in raw for t in self.added):
                     out[at] = self._direct(texts[at].decode())
                 else:
                     ws = raw.split()  # ASCII white space only
-                    met.update(ws)
-                    group.append((at, ws))
+                    places.append(np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)))
+                    group.append(at)
                 size += len(raw)
                 at += 1
-            unseen = met.difference(words)
-            again = {w: self.old[w] for w in unseen if w in self.old}
-            words.update(again)
-            self._learn([w for w in unseen if w not in again])
-            for i, ws in group:
-                out[i] = b"".join(map(words.__getitem__, ws))
+            if not group:
+                continue
+            ids, length = self._ids_of(list(number))
+            place = np.concatenate(places)
+            first = np.cumsum(length) - length
+            n = length[place]
+            to = np.cumsum(n)
+            found = ids[np.arange(n.sum()) + np.repeat(first[place] - (to - n), n)].tobytes()
+            cuts = (4 * np.concatenate([[0], to])[np.cumsum([0, *map(len, places)])]).tolist()
+            for i, lo, hi in zip(group, cuts[:-1], cuts[1:]):
+                out[i] = found[lo:hi]
         return out
 
+    def _ids_of(self, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words one after another, number of ids of each)."""
+        if len(self.words) > MAX_WORDS:
+            self.old, self.words = self.words, {}
+        words, old = self.words, self.old
+        found = list(map(words.get, distinct))
+        holes = [k for k, ids in enumerate(found) if ids is None]
+        unseen = [distinct[k] for k in holes]
+        again = {w: old[w] for w in unseen if w in old}
+        words.update(again)
+        self._learn([w for w in unseen if w not in again] if again else unseen)
+        for k, w in zip(holes, unseen):
+            found[k] = words[w]
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of the tokenizer file ``path``."""
@@ -158,8 +188,11 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            sizes = np.cumsum(pc.binary_length(b.column(1)).fill_null(0).to_numpy())
+            to = 0
+            while to < b.num_rows:
+                at, to = to, max(to + 1, int(np.searchsorted(sizes, (sizes[to - 1] if to else 0) + GROUP_BYTES, "right")))
+                part = b.slice(at, to - at)
                 ids = [x + end for x in enc.encode(part.column(1).to_pylist())]
                 if piece is None:
                     yield pa.record_batch([part.column(0), pa.array(map(narrow, ids), pa.binary())], names=names)
