@@ -17,10 +17,12 @@ from rankfold.sources import staging as st
 def labeled_candidates(spark, sf):
     """Candidates with the membership label computed row-wise: an article is
     clicked in an impression when any of its lines there is clicked (a
-    max over (impression, article), no per-impression list)."""
+    max over (impression, article), no per-impression list).  An impression's
+    lines lie together already, so the maximum is a window over them: a
+    map-side sum would hold a key for nearly every line of a scanned split."""
     from rankfold.operators.features import attach_stats
     c = st.candidate_lines(spark, sf)
-    out = attach_stats(c, [(["impression_id", "article_id"], [("max", "line_label", "label")])])
+    out = attach_stats(c, [(["impression_id", "article_id"], [("max", "line_label", "label")])], form="window")
     return out.withColumn("label", F.col("label").cast("int"))
 
 
