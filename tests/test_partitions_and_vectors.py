@@ -42,6 +42,23 @@ def test_partitions_are_merged_to_a_bound_where_there_are_enough(spark, monkeypa
         spark.conf.unset(session.ADVISORY)
 
 
+@pytest.mark.parametrize("named, want", [(None, "16m"), ("128MB", "16m"), ("8m", "8m")])
+def test_facts_are_read_in_bounded_splits(spark, monkeypatch, tmp_path, named, want):
+    before = {name: spark.conf.get(name, None) for name in (PARTITIONS, session.ADVISORY, session.SPLIT)}
+    monkeypatch.setattr(session, "PARTITION_ROWS", 500)
+    try:
+        spark.conf.unset(session.SPLIT)
+        if named:
+            spark.conf.set(session.SPLIT, named)
+        st.table(spark, SF_SMALL, "customer")
+        assert spark.conf.get(session.SPLIT) == (named or "134217728b")
+        st.table(spark, SF_SMALL, "lineitem")
+        assert spark.conf.get(session.SPLIT) == want
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_vectors_keep_no_name_of_a_slot(spark):
     df = spark.createDataFrame([(i, f"u{i}", float(i)) for i in range(50)], "id long, u string, price double")
     enc = FieldEncoder(keyCols=["id"], categorical=["u"], numeric=["price"]).fit(df)
