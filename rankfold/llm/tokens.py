@@ -14,9 +14,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, filterfalse
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_WORDS, MAX_TAILS = 250_000, 10_000
-GROUP_BYTES = 2_000_000  # of the texts whose distinct words are looked up together
+GROUP_BYTES = 4_000_000  # of the texts whose distinct words are looked up together
 # Words that are one letters-only pre-token and that normalization only lower-cases:
 # letters below U+0250 but for U+0130, whose lower case is not a letter sequence.
 _EASY = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
@@ -42,6 +41,23 @@ def _byte_chars() -> list[str]:
     return [rest.get(b, chr(b)) for b in range(256)]
 
 
+def _words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, the place in them of every word, offsets of the texts
+    in those); words end at ASCII white space only."""
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+    ends = lists.offsets.to_numpy()
+    coded = lists.values.dictionary_encode()
+    distinct, place = coded.dictionary.view(pa.binary()).to_pylist(), coded.indices.to_numpy()
+    if b"" in distinct:  # white space at a text's start or end, or no word
+        none = distinct.index(b"")
+        real = place != none
+        ends = np.concatenate([[0], np.cumsum(real)])[ends]
+        place = place[real]
+        place = place - (place > none)
+        del distinct[none]
+    return distinct, place, ends
+
+
 class Encoder:
     """One tokenizer in one Python worker."""
 
@@ -120,27 +136,25 @@ class Encoder:
         out: list[bytes | None] = [None] * len(texts)
         at = 0
         while at < len(texts):  # groups of texts
-            number = defaultdict(count().__next__)  # of each distinct word
-            group, places, ends, size = [], [], [], 0
+            group, raws, size = [], [], 0
             while at < len(texts) and size < GROUP_BYTES:
                 raw = (texts[at] or b"").lower()  # A-Z only
                 if any(t in raw for t in self.added):
                     out[at] = self._direct(texts[at].decode())
                 else:
-                    ws = raw.split()  # ASCII white space only
-                    places.append(np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)))
+                    raws.append(raw)
                     group.append(at)
                 size += len(raw)
                 at += 1
             if not group:
                 continue
-            ids, length = self._ids_of(list(number))
-            place = np.concatenate(places)
+            distinct, place, ends = _words(raws)
+            ids, length = self._ids_of(distinct)
             first = np.cumsum(length) - length
             n = length[place]
             to = np.cumsum(n)
             found = ids[np.arange(n.sum()) + np.repeat(first[place] - (to - n), n)].tobytes()
-            cuts = (4 * np.concatenate([[0], to])[np.cumsum([0, *map(len, places)])]).tolist()
+            cuts = (4 * np.concatenate([[0], to])[ends]).tolist()
             for i, lo, hi in zip(group, cuts[:-1], cuts[1:]):
                 out[i] = found[lo:hi]
         return out

@@ -46,3 +46,11 @@ def test_rare_words_leave_and_the_ids_stay(monkeypatch):
     texts = [" ".join(f"{'abcdefghij'[(k * j) % 10]}{'klmnopqrst'[(k + j) % 10]}en." for j in range(12)) for k in range(60)]
     want = [np.array(enc.exact.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert enc.encode([t.encode() for t in texts]) == want
+
+
+def test_words_of_a_group_end_at_ascii_white_space_only():
+    texts = [b" a b\x0b\x0ca ", b"", b"\t\n", "b c\u0085 \x1c a".encode(), b"a"]
+    words, place, ends = tokens._words(texts)
+    assert sorted(words) == sorted({w for t in texts for w in t.split()})
+    assert [[words[k] for k in place[lo:hi]] for lo, hi in zip(ends[:-1], ends[1:])] == [t.split() for t in texts]
+    assert tokens._words([b"", b" "])[0] == [] and tokens._words([b"x"])[1].tolist() == [0]
