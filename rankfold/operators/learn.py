@@ -21,7 +21,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.session import ensure_checkpoint_dir
@@ -219,16 +219,25 @@ def pairwise_scores(model: PipelineModel, df: DataFrame, key: list[str], feature
         *key, vector_to_array("_r")[1].alias(out))
 
 
+def with_score(model: PipelineModel, df: DataFrame, key: list[str], out: str) -> DataFrame:
+    """``df`` joined with its own scores by key, as one shuffle of ``df``: a row
+    occurs once for every score of its key, a row without a key not at all."""
+    for k in key:
+        df = df.where(F.col(k).isNotNull())
+    pred = model.transform(df)
+    rows = pred.select(*df.columns, vector_to_array("probability")[1].alias(out))
+    rows = rows.withColumn(out, F.collect_list(out).over(Window.partitionBy(*key)))
+    return rows.withColumn(out, F.explode(out))
+
+
 def stack_two_stage(train: DataFrame, valid: DataFrame, test: DataFrame, features: list[str],
                     key: list[str], make=gbt, label: str = "label") -> DataFrame:
     """Two-stage stacking (R5): fit on train, score valid as ``train_score``,
     refit on valid with that feature, score test (train model's score also
     joined to test by key)."""
     m1 = make(features, label).fit(prepare(train, features))
-    v_s = score(m1, prepare(valid, features), key, "train_score")
-    t_s = score(m1, prepare(test, features), key, "train_score")
-    valid2 = prepare(valid, features).join(v_s, key)
-    test2 = prepare(test, features).join(t_s, key)
+    valid2 = with_score(m1, prepare(valid, features), key, "train_score")
+    test2 = with_score(m1, prepare(test, features), key, "train_score")
     m2 = make([*features, "train_score"], label).fit(valid2)
     return score(m2, test2, key)
 

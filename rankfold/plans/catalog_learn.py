@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankfold.functions.scalar import duration_days, ntz_lit
@@ -14,7 +15,7 @@ from rankfold.operators.field_encoder import FieldEncoder, field_vectors
 from rankfold.operators.listwise import fit_listwise
 from rankfold.plans import catalog_build
 from rankfold.plans.registry import query
-from rankfold.session import ensure_checkpoint_dir
+from rankfold.session import ensure_checkpoint_dir, written
 from rankfold.sources import staging as st
 from rankfold.streaming.stream_ops import stream_folder
 
@@ -26,12 +27,14 @@ CUT_TEST = datetime(1997, 6, 1)
 
 
 def feature_table(spark, sf):
-    """Candidates with numeric features, the click label and a time split."""
-    c = st.candidate_lines(spark, sf)
+    """Candidates with numeric features, the click label and a time split.
+
+    The impression's length is counted where its lines lie for their positions:
+    a line is shuffled by its impression and by its article, no third time."""
+    c = st.candidate_lines(spark, sf).withColumn("session_len", F.count(F.lit(1)).over(Window.partitionBy("impression_id")))
     art = st.articles(spark, sf).select("article_id", "total_inviews", "total_read_time", "published_time",
                                         "article_type")
-    n = c.groupBy("impression_id").agg(F.count(F.lit(1)).alias("session_len"))
-    j = c.join(art, "article_id", "left").join(n, "impression_id")
+    j = c.join(art, "article_id", "left")
     j = j.withColumns({"view_days": duration_days("impression_time", "published_time").cast("double"),
                        "label": F.col("line_label").cast("double"),
                        "split": F.when(F.col("impression_time") < ntz_lit(CUT_VALID), "train")
@@ -39,8 +42,10 @@ def feature_table(spark, sf):
     return LN.prepare(j, FEATURES)
 
 
-def _splits(spark, sf):
-    f = feature_table(spark, sf)
+def _splits(spark, sf, *more):
+    """Train, valid and test with the columns of the models and ``more``.  The
+    table is written once: a fit and a score pass over it several times."""
+    f = written(feature_table(spark, sf).select(*dict.fromkeys([*KEY, *more, *FEATURES, "label", "split"])), "features")
     return (f.where(F.col("split") == "train"), f.where(F.col("split") == "valid"),
             f.where(F.col("split") == "test"))
 
@@ -80,7 +85,7 @@ def q_stacked(spark, sf):
 @query("lr_scores")
 def q_lr(spark, sf):
     """Numbers and the one-hot article type."""
-    train, _, test = _splits(spark, sf)
+    train, _, test = _splits(spark, sf, "article_type")
     enc = FieldEncoder(keyCols=KEY, categorical=["article_type"]).fit(train)
     train, test = (field_vectors(enc.transform(part), enc, FEATURES) for part in (train, test))
     return _round(LN.score(LN.on_vectors("logistic").fit(train), test, KEY))
@@ -154,7 +159,7 @@ def q_fm_fields(spark, sf):
 @query("model_submission")
 def q_model_submission(spark, sf):
     """From a model's scores to the written submission, read back."""
-    train, _, test = _splits(spark, sf)
+    train, _, test = _splits(spark, sf, "user_id")
     scores = LN.score(LN.gbt(FEATURES, max_depth=3, max_iter=5).fit(train), test, [*KEY, "user_id"])
     path = stream_folder(spark, "model-submission")
     R.write_submission(R.submission_lines(R.rank_lists(scores)), path)

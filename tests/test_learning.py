@@ -115,6 +115,44 @@ def test_listwise_model_survives_saving(spark, tmp_path):
     assert a == b and len(a) == 92
 
 
+def executed_plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scores_of_a_key_that_repeats_are_joined_as_before(planted):
+    """Every row meets every score of its key, in one pass over the rows; a row without a key goes."""
+    train, test = planted
+    model = LN.logistic(FEATURES).fit(train)
+    rows = test.where("id % 4 < 3").withColumn("k", F.when(F.col("id") % 7 > 0, F.col("id") % 50)).drop("g")
+    old = rows.join(LN.score(model, rows, ["k"], "train_score"), "k")
+    new = LN.with_score(model, rows, ["k"], "train_score")
+    cells = lambda df: sorted((r["k"], r["id"], round(r["train_score"], 9)) for r in df.collect())
+    assert cells(new) == cells(old) and new.count() > rows.count()
+    assert "Join" not in executed_plan(new)
+
+
+def test_rows_written_once_leave_no_shuffle_files(spark):
+    """The setting holds for the writing job alone, and nulls, kinds and rows stay."""
+    from rankfold.session import CLEANUP, written
+    df = spark.createDataFrame([(1, "a", 0.5), (2, None, None), (1, "a", 0.5)], "k long, s string, x double")
+    df = df.repartition(3, "k").withColumn("n", F.lit(1))
+    before = spark.conf.get(CLEANUP)
+    done = written(df, "test")
+    assert spark.conf.get(CLEANUP) == before and done.dtypes == df.dtypes
+    assert sorted(map(str, done.collect())) == sorted(map(str, df.collect()))
+    assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_line_is_shuffled_by_impression_and_by_article_only(spark):
+    """The length of an impression takes no join and no shuffle of its own."""
+    from rankfold.plans import catalog_learn
+    from __spark_entry__ import SMOKE_DIR
+    plan = executed_plan(catalog_learn.feature_table(spark, SMOKE_DIR))
+    assert plan.count("Join ") == 2  # orders, articles
+    train, valid, test = catalog_learn._splits(spark, SMOKE_DIR)
+    assert all("Join" not in executed_plan(part) and "Window" not in executed_plan(part) for part in (train, valid, test))
+
+
 # --- fields -----------------------------------------------------------------------
 
 ROWS = "id long, color string, size int, words string, price double, note string"
