@@ -194,15 +194,16 @@ def pairwise_frame(df: DataFrame, group: list[str], features: list[str], label:
     Each positive is paired with its group's mean negative (and mirrored),
     so a group contributes 2P rows whatever its size; the difference vector
     feeds an intercept-free logistic regression whose weights rank items
-    inside a group.  An analogue of pairwise boosting, not LambdaMART.
+    inside a group.  An analogue of pairwise boosting, not LambdaMART.  Both
+    rows of a pair come from one row of the join, which runs once.
     """
     y = F.col(label)
     neg = df.where(y == 0).groupBy(*group).agg(*[F.avg(c).alias(f"_n_{c}") for c in features])
     pos = df.where(y == 1).join(neg, group, "inner")
     diff = {c: F.col(c) - F.col(f"_n_{c}") for c in features}
-    up = pos.select(*[v.alias(c) for c, v in diff.items()], F.lit(1.0).alias("pair_label"))
-    down = pos.select(*[(-v).alias(c) for c, v in diff.items()], F.lit(0.0).alias("pair_label"))
-    return up.unionByName(down)
+    up = F.struct(*[v.alias(c) for c, v in diff.items()], F.lit(1.0).alias("pair_label"))
+    down = F.struct(*[(-v).alias(c) for c, v in diff.items()], F.lit(0.0).alias("pair_label"))
+    return pos.select(F.inline(F.array(up, down)))
 
 
 def fit_pairwise(df: DataFrame, group: list[str], features: list[str], label: str = "label") -> PipelineModel:

@@ -131,6 +131,16 @@ def test_scores_of_a_key_that_repeats_are_joined_as_before(planted):
     assert "Join" not in executed_plan(new)
 
 
+def test_pairs_come_from_one_join(planted):
+    train, _ = planted
+    pairs = LN.pairwise_frame(train, ["g"], FEATURES)
+    assert executed_plan(pairs).count("Join ") == 1 and "Union" not in executed_plan(pairs)
+    rows = [tuple(r) for r in pairs.collect()]
+    both = train.groupBy("g").agg(F.sum("label").alias("p"), F.count("*").alias("n")).where("p > 0 and p < n").agg(F.sum("p")).first()[0]
+    assert len(rows) == 2 * both
+    assert sorted(tuple(-x for x in r[:-1]) for r in rows if r[-1] == 1) == sorted(r[:-1] for r in rows if r[-1] == 0)
+
+
 def test_rows_written_once_leave_no_shuffle_files(spark):
     """The setting holds for the writing job alone, and nulls, kinds and rows stay."""
     from rankfold.session import CLEANUP, written
