@@ -16,7 +16,7 @@ from rankfold.operators.field_encoder import FieldEncoder, FieldEncoderModel
 from rankfold.operators.sequence import positions
 from rankfold.plans.oracle import ART, CAND, EV, with_
 from rankfold.plans.registry import query, r6
-from rankfold.session import ensure_checkpoint_dir
+from rankfold.session import ensure_checkpoint_dir, written
 from rankfold.sources import blocks, io
 from rankfold.sources import staging as st
 from rankfold.streaming.stream_ops import stream_folder
@@ -33,13 +33,22 @@ CUT_VALID, CUT_TEST = datetime(1996, 1, 1), datetime(1997, 6, 1)
 
 def field_rows(spark, sf):
     """Order lines with 15 categorical fields, a text field and a number, keyed
-    by (impression_id, pos) and split by order date."""
+    by (impression_id, pos) and split by order date.
+
+    Customers come to the orders, not to every line, and positions count lines
+    before a customer that is there twice repeats them: the first stands in the
+    order's columns, all are kept only where there are several."""
     li = st.table(spark, sf, "lineitem")
-    orders = st.table(spark, sf, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    who = F.struct("c_mktsegment", "c_nationkey")
+    customers = (st.table(spark, sf, "customer").where("c_custkey IS NOT NULL").groupBy(F.col("c_custkey").alias("o_custkey"))
+                 .agg(F.collect_list(who).alias("_all")))
+    customers = customers.select("o_custkey", F.col("_all")[0].alias("_one"), F.when(F.size("_all") > 1, F.col("_all")).alias("_several"))
+    orders = (st.table(spark, sf, "orders").withColumnRenamed("o_orderkey", "l_orderkey").join(customers, "o_custkey", "left")
+              .select("*", "_one.c_mktsegment", "_one.c_nationkey").drop("_one"))
     lines = positions(li.join(orders, "l_orderkey"), ["l_orderkey"],
                       [*st.LINE_ORDER, "l_returnflag", "l_discount", "l_tax", "l_quantity"], "pos", strategy="window")
-    lines = (lines.join(st.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey"),
-                        "o_custkey", "left")
+    lines = lines.withColumn("_who", F.explode(F.coalesce("_several", F.array(who))))
+    lines = (lines.select(*[c for c in lines.columns if c not in ("c_mktsegment", "c_nationkey", "_several", "_who")], "_who.*")
              .join(st.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size", "p_name"),
                    "l_partkey", "left"))
     split = (F.when(F.col("o_orderdate") < ntz_lit(CUT_VALID), "train").when(F.col("o_orderdate") < ntz_lit(CUT_TEST), "valid")
@@ -98,7 +107,7 @@ def q_encode_fields(spark, sf):
     """15 fields, a token sequence and a number, fitted on train, saved, read
     back and applied to the three splits (E3, E19)."""
     ensure_checkpoint_dir(spark)
-    rows = field_rows(spark, sf).drop("label").checkpoint(eager=True)  # the joins run once for the fit and the splits
+    rows = written(field_rows(spark, sf).drop("label"), "field-rows")  # the joins run once for the fit and the splits
     path = stream_folder(spark, "field-encoder")
     field_encoder().fit(rows.where(F.col("split") == "train")).write().save(path)
     model = FieldEncoderModel.load(path)

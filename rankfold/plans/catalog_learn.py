@@ -133,7 +133,7 @@ def encoded_splits(spark, sf):
     vectors for the model's passes: a task of a pass sums one model-sized
     gradient, so there are as many as the cores, whatever the rows."""
     ensure_checkpoint_dir(spark)
-    rows = catalog_build.field_rows(spark, sf).select(*KEY, "split", "label", "price", *MODEL_FIELDS).checkpoint(eager=True)
+    rows = written(catalog_build.field_rows(spark, sf).select(*KEY, "split", "label", "price", *MODEL_FIELDS), "model-rows")
     train = rows.where(F.col("split") == "train")
     encoder = FieldEncoder(keyCols=KEY, categorical=MODEL_FIELDS, numeric=["price"], minCount=2).fit(train)
     vectors = [field_vectors(encoder.transform(part), encoder, ["price"]) for part in (train, rows.where(F.col("split") == "test"))]

@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from rankfold.functions.lists import pad_sequence
 from rankfold.operators import learn as LN
 from rankfold.operators import metrics as M
 from rankfold.operators import vectors as V
@@ -201,6 +202,56 @@ def test_fields_are_joined_once(spark):
     assert plan.count("Join ") == 1
 
 
+
+@pytest.mark.parametrize("lookup, most", [(4096, 500_000), (1, 500_000), (1, 0)])
+def test_rows_encode_alike_by_every_way(spark, monkeypatch, lookup, most):
+    """Tokens looked up in the task, broadcast or joined; keys that repeat, across batches too, or are null."""
+    from rankfold.operators import field_encoder as FE
+    rnd = random.Random(5)
+    rows = [(None if i % 11 == 0 else i // 3, i % 2 * 0.5 if i % 7 else None, rnd.choice(["a", "b", "zz", None]), rnd.randrange(30),
+             None if i % 13 == 0 else " ".join(rnd.choice(["x", "y", "", "w"]) for _ in range(rnd.randrange(5))), float(i), "same")
+            for i in range(400)]
+    rows += [(7, 0.5, "a", 3, "x", 1.0, "same")] * 90  # more rows of a key than a batch has
+    df = spark.createDataFrame(rows, "k long, k2 double, c string, n int, words string, price double, note string")
+    model = FieldEncoder(keyCols=["k", "k2"], categorical=["c", "n"], numeric=["price"],
+                         sequences={"words": {"splitter": " ", "max_len": 3}}, minCount=2).fit(df)
+    old = model._by_cells(df)
+    monkeypatch.setattr(FE, "LOOKUP", lookup)
+    monkeypatch.setattr(FE, "BROADCAST", most)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        new = model._folded(df)
+        cells = lambda d: sorted(map(str, d.select("k", "k2", "c", "n", "words", "note").collect()))
+        assert cells(new) == cells(old) and new.count() < len(rows)
+        if lookup > 1:
+            plan = executed_plan(model.transform(df))
+            assert "Generate" not in plan  # a row stays one row
+            assert cells(model.transform(df)) == cells(old.withColumn("words", pad_sequence("words", 3, 0, padding="pre")))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_customer_that_is_there_twice_repeats_its_lines(spark, tmp_path):
+    """Positions count an order's lines once, whatever its customers."""
+    from datetime import datetime
+    from rankfold.plans import catalog_build
+    day = datetime(1995, 5, 5)
+    spark.createDataFrame([(1, 10, "O", 1.0, day, "x"), (2, 11, "O", 1.0, day, "x"), (3, None, "O", 1.0, day, "x")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+                          ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(o, 5, 1, n, 1.0, 2.0, 0.0, 0.0, "R", "O", day) for o in (1, 2, 3) for n in (1, 2)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(10, 1, "A"), (10, 2, "B"), (None, 3, "C")], "c_custkey long, c_nationkey int, c_mktsegment string"
+                          ).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(5, "n", "b", "t", 1)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+                          ).write.parquet(str(tmp_path / "part.parquet"))
+    rows = catalog_build.field_rows(spark, str(tmp_path))
+    got = sorted((r["impression_id"], r["pos"], r["segment"] or "", r["nation"] or 0) for r in rows.collect())
+    assert got == [(1, 0, "A", 1), (1, 0, "B", 2), (1, 1, "A", 1), (1, 1, "B", 2), (2, 0, "", 0), (2, 1, "", 0), (3, 0, "", 0), (3, 1, "", 0)]
+
+
 def test_one_hot_models_on_fields_find_the_signal(spark):
     rnd = random.Random(12)
     rows = []
