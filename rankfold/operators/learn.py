@@ -24,6 +24,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankfold.operators.sparse_fit import SparseLogistic, SparseMachine, SparseModel
 from rankfold.session import ensure_checkpoint_dir
 
 SEED = 2023
@@ -153,17 +154,16 @@ class FactorizationMachine:
         return FactorizationMachineModel(self.features, weights[:d * k].reshape(d, k), weights[d * k:-1], float(weights[-1]))
 
 
-def on_vectors(kind: str, label: str = "label", **options) -> Pipeline:
+def on_vectors(kind: str, label: str = "label", **options) -> SparseLogistic | SparseMachine:
     """``logistic`` (L4) or ``fm`` (L5) on a ready ``features`` vector, such as
-    the sparse one of ``field_encoder.field_vectors``."""
+    the sparse one of ``field_encoder.field_vectors``: Spark ML's models, with
+    weights that no process holds whole (``sparse_fit``)."""
     if kind == "logistic":
-        est = LogisticRegression(labelCol=label, featuresCol="features", regParam=options.get("reg", 0.0))
-    elif kind == "fm":
-        est = FMClassifier(labelCol=label, featuresCol="features", factorSize=options.get("factor_size", 8), stepSize=0.05,
-                           regParam=options.get("reg", 0.001), maxIter=options.get("max_iter", 100), seed=SEED)
-    else:
-        raise ValueError(kind)
-    return Pipeline(stages=[est])
+        return SparseLogistic(label, "features", options.get("reg", 0.0))
+    if kind == "fm":
+        return SparseMachine(label, "features", options.get("factor_size", 8), 0.05, options.get("reg", 0.001),
+                             options.get("max_iter", 100), seed=SEED)
+    raise ValueError(kind)
 
 
 def mlp(features: list[str], label: str = "label", hidden: tuple[int, ...] = (16,)) -> Pipeline:
@@ -173,7 +173,7 @@ def mlp(features: list[str], label: str = "label", hidden: tuple[int, ...] = (16
         labelCol=label, featuresCol="features", layers=layers, seed=SEED, maxIter=50)])
 
 
-def score(model: PipelineModel | FactorizationMachineModel, df: DataFrame, key: list[str], out: str = "score") -> DataFrame:
+def score(model: PipelineModel | FactorizationMachineModel | SparseModel, df: DataFrame, key: list[str], out: str = "score") -> DataFrame:
     """Positive-class probability keyed by ``key``."""
     pred = model.transform(df)
     return pred.select(*key, vector_to_array("probability")[1].alias(out))
