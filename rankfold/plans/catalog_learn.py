@@ -15,7 +15,7 @@ from rankfold.operators.field_encoder import FieldEncoder, field_vectors
 from rankfold.operators.listwise import fit_listwise
 from rankfold.plans import catalog_build
 from rankfold.plans.registry import query
-from rankfold.session import ensure_checkpoint_dir, written
+from rankfold.session import written
 from rankfold.sources import staging as st
 from rankfold.streaming.stream_ops import stream_folder
 
@@ -127,19 +127,13 @@ MODEL_FIELDS = ["user_id", "article_id", "brand", "part_type", "priority", "segm
 
 
 def encoded_splits(spark, sf):
-    """(encoder, train, test) with one sparse vector of all fields.
-
-    The rows are written once for the encoder and both splits, and the training
-    vectors for the model's passes: a task of a pass sums one model-sized
-    gradient, so there are as many as the cores, whatever the rows."""
-    ensure_checkpoint_dir(spark)
+    """(encoder, train, test) with one sparse vector of all fields; the rows are
+    written once for the encoder and both splits."""
     rows = written(catalog_build.field_rows(spark, sf).select(*KEY, "split", "label", "price", *MODEL_FIELDS), "model-rows")
     train = rows.where(F.col("split") == "train")
     encoder = FieldEncoder(keyCols=KEY, categorical=MODEL_FIELDS, numeric=["price"], minCount=2).fit(train)
     vectors = [field_vectors(encoder.transform(part), encoder, ["price"]) for part in (train, rows.where(F.col("split") == "test"))]
-    path = stream_folder(spark, "field-vectors")
-    vectors[0].select("label", "features").write.parquet(path)
-    return encoder, spark.read.parquet(path).coalesce(spark.sparkContext.defaultParallelism), vectors[1]
+    return encoder, vectors[0].select("label", "features"), vectors[1].select(*KEY, "features")
 
 
 @query("lr_field_scores")
