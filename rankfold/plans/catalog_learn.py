@@ -42,14 +42,23 @@ def feature_table(spark, sf):
     return LN.prepare(j, FEATURES)
 
 
-def _splits(spark, sf, *more):
-    """Train, valid and test with the columns of the models and ``more``.  The
-    table is written once: a fit and a score pass over it several times."""
-    f = written(feature_table(spark, sf).select(*dict.fromkeys([*KEY, *more, *FEATURES, "label", "split"])), "features")
+def _parts(f):
     return (f.where(F.col("split") == "train"), f.where(F.col("split") == "valid"),
             f.where(F.col("split") == "test"))
 
 
+def _splits(spark, sf):
+    return _parts(feature_table(spark, sf))
+
+
+def _written_splits(spark, sf):
+    """The same with the models' columns, written once: a fit and a score pass
+    over them several times.  Boosted trees then sample the rows in the order in
+    which the files are read."""
+    f = feature_table(spark, sf).select(*dict.fromkeys([*KEY, *FEATURES, "label", "split"]))
+    return _parts(written(f, "features"))
+
+
 def _round(df):
     return df.select(*KEY, F.round("score", 6).alias("score"))
 
@@ -70,14 +79,14 @@ def q_importances(spark, sf):
 
 @query("pairwise_rank_scores")
 def q_pairwise(spark, sf):
-    train, _, test = _splits(spark, sf)
+    train, _, test = _written_splits(spark, sf)
     m = LN.fit_pairwise(train, ["impression_id"], FEATURES)
     return _round(LN.pairwise_scores(m, test, KEY, FEATURES))
 
 
 @query("stacked_scores")
 def q_stacked(spark, sf):
-    train, valid, test = _splits(spark, sf)
+    train, valid, test = _written_splits(spark, sf)
     make = lambda feats, label: LN.gbt(feats, label, max_depth=3, max_iter=5)
     return _round(LN.stack_two_stage(train, valid, test, FEATURES, KEY, make=make))
 
@@ -85,7 +94,7 @@ def q_stacked(spark, sf):
 @query("lr_scores")
 def q_lr(spark, sf):
     """Numbers and the one-hot article type."""
-    train, _, test = _splits(spark, sf, "article_type")
+    train, _, test = _splits(spark, sf)
     enc = FieldEncoder(keyCols=KEY, categorical=["article_type"]).fit(train)
     train, test = (field_vectors(enc.transform(part), enc, FEATURES) for part in (train, test))
     return _round(LN.score(LN.on_vectors("logistic").fit(train), test, KEY))
@@ -153,7 +162,7 @@ def q_fm_fields(spark, sf):
 @query("model_submission")
 def q_model_submission(spark, sf):
     """From a model's scores to the written submission, read back."""
-    train, _, test = _splits(spark, sf, "user_id")
+    train, _, test = _splits(spark, sf)
     scores = LN.score(LN.gbt(FEATURES, max_depth=3, max_iter=5).fit(train), test, [*KEY, "user_id"])
     path = stream_folder(spark, "model-submission")
     R.write_submission(R.submission_lines(R.rank_lists(scores)), path)

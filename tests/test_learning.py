@@ -160,7 +160,7 @@ def test_a_line_is_shuffled_by_impression_and_by_article_only(spark):
     from __spark_entry__ import SMOKE_DIR
     plan = executed_plan(catalog_learn.feature_table(spark, SMOKE_DIR))
     assert plan.count("Join ") == 2  # orders, articles
-    train, valid, test = catalog_learn._splits(spark, SMOKE_DIR)
+    train, valid, test = catalog_learn._written_splits(spark, SMOKE_DIR)
     assert all("Join" not in executed_plan(part) and "Window" not in executed_plan(part) for part in (train, valid, test))
 
 
